@@ -26,7 +26,7 @@ def parse_date(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
 
 def parse_date_fallback(c: str | Column, fmt: str = DATE_FORMAT) -> Column:
     """``fmt`` first, then Spark's default formats; NULL if neither parses."""
-    return F.coalesce(F.try_to_date(col(c), F.lit(fmt)), F.try_to_date(col(c)))
+    return F.coalesce(F.try_to_date(col(c), fmt), F.try_to_date(col(c)))
 
 
 def parse_percent(c: str | Column) -> Column:
@@ -55,6 +55,12 @@ def calendar_columns(d: str | Column) -> dict[str, Column]:
 
 # --- scalar math ---------------------------------------------------------
 
+def round_money(c: str | Column, digits: int = 2) -> Column:
+    """Half-up rounding on the exact decimal value (money), so ties such as
+    x.xx5 round the same way in every engine; returned as double."""
+    return F.round(col(c).cast("decimal(38,6)"), digits).cast("double")
+
+
 def clip(c: str | Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(col(c), F.lit(lo)), F.lit(hi))
 

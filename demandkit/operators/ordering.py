@@ -101,3 +101,25 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
         lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
         finals.append((lo + (hi - lo) * fr).alias(nm))
     return ix.agg(*parts).select(*finals)
+
+
+def exact_quantiles_grouped(df: DataFrame, value_col: str, qs: Sequence[float],
+                            group_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Exact linear quantiles per group without holding a group in one
+    buffer: one distributed row index over (group, value); each group's
+    first index and size come from a one-row-per-group aggregate."""
+    g = list(group_cols)
+    names = [f"q_{round(q * 100, 6):g}".replace(".", "_") for q in qs]
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ix = row_index(vals, [*g, "_v"], "_ri", num_partitions=num_partitions)
+    sizes = ix.groupBy(*g).agg(F.min("_ri").alias("_r0"), F.count(F.lit(1)).alias("_n"))
+    ix = ix.join(sizes, g).withColumn("_ri", F.col("_ri") - F.col("_r0"))
+    parts, finals = [], []
+    for i, (q, nm) in enumerate(zip(qs, names)):
+        pos = (F.col("_n") - 1) * float(q)
+        parts += [F.max(F.when(F.col("_ri") == F.floor(pos), F.col("_v"))).alias(f"_lo{i}"),
+                  F.max(F.when(F.col("_ri") == F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"),
+                  F.max(pos - F.floor(pos)).alias(f"_fr{i}")]
+        lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
+        finals.append((lo + (hi - lo) * fr).alias(nm))
+    return ix.groupBy(*g).agg(*parts).select(*g, *finals)

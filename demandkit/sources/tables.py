@@ -15,6 +15,16 @@ ROW_KEY = ("date", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
            "l_extendedprice")
 
 
+# Declared schema of the sales view (column -> Spark type).
+SALES_TYPES = {
+    "date": "date", "product": "string", "brand": "string", "dealer": "string",
+    "dealer_location": "string", "size": "int", "unit_price": "double", "qty": "double",
+    "stock": "int", "margin_pct": "string", "tax_pct": "string", "date_str": "string",
+    "profit": "double", "l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint",
+    "l_suppkey": "bigint", "l_extendedprice": "double",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; listing ``columns`` prunes the Parquet scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -44,9 +54,10 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.col("l_shipdate").cast("date")
     margin = F.round(F.col("l_discount") * 100).cast("int")
     unit_price = F.col("p_retailprice")
-    # Surrogate profit: price x margin, with a planted error on some parts so
-    # the profit validator has something to find.
-    profit = F.round(unit_price * margin / 100, 2) + F.when(
+    # Surrogate profit: price x margin in whole cents (floor, exact in any
+    # engine), with a planted error on some parts so the profit validator
+    # has something to find.
+    profit = F.floor(unit_price * margin) / 100 + F.when(
         F.col("l_partkey") % 97 == 0, F.lit(5.0)).otherwise(F.lit(0.0))
     return joined.select(
         date.alias("date"),
@@ -77,7 +88,7 @@ sales AS (
          CAST(CAST(round(l.l_discount * 100) AS INTEGER) AS VARCHAR) || '%' AS margin_pct,
          CAST(CAST(round(l.l_tax * 100) AS INTEGER) AS VARCHAR) || '%' AS tax_pct,
          strftime(CAST(l.l_shipdate AS DATE), '%d-%m-%Y') AS date_str,
-         round(p.p_retailprice * CAST(round(l.l_discount * 100) AS INTEGER) / 100, 2)
+         floor(p.p_retailprice * CAST(round(l.l_discount * 100) AS INTEGER)) / 100
            + CASE WHEN l.l_partkey % 97 = 0 THEN 5.0 ELSE 0.0 END AS profit,
          l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice
   FROM lineitem l

@@ -78,3 +78,28 @@ class Tables:
     @cached_property
     def recs(self) -> DataFrame:
         return inv.recommendations(self.inv, self.health)
+
+    # --- modelling ----------------------------------------------------------
+
+    @cached_property
+    def prepared(self) -> DataFrame:
+        """Encoded + scaled engineered rows (encoders and scaler fitted on
+        all rows before the split, as the reference does), persisted for
+        the repeated passes of model fitting."""
+        from ..operators import models
+        return models.persist_training(prep.standard_scale(prep.label_encode(self.eng)))
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return self.prepared.where(F.col("split") == "train")
+
+    @cached_property
+    def fitted(self) -> dict:
+        """The three reference models with their reference settings, fitted
+        once per dataset and shared by every model query."""
+        from ..operators import models
+        return {
+            "Linear Regression": models.fit(self.train, models.linear()),
+            "Random Forest": models.fit(self.train, models.forest(**models.FOREST_DEFAULTS)),
+            "XGBoost": models.fit(self.train, models.boosted(**models.BOOSTED_DEFAULTS)),
+        }

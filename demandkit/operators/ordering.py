@@ -123,3 +123,23 @@ def exact_quantiles_grouped(df: DataFrame, value_col: str, qs: Sequence[float],
         lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
         finals.append((lo + (hi - lo) * fr).alias(nm))
     return ix.groupBy(*g).agg(*parts).select(*g, *finals)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str | Column], value_col: str,
+                out_col: str = "running_sum", num_partitions: int | None = None) -> DataFrame:
+    """Inclusive prefix sum of ``value_col`` in ``keys`` order, computed
+    like :func:`row_index`: range partitions, a per-partition running sum,
+    plus the totals of all earlier partitions (one row per partition)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = _as_cols(keys)
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id()))
+    w_in = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.sum(value_col).over(w_in))
+    totals = ranged.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_pid")
+                 .withColumn(out_col, F.col("_off") + F.col("_local"))
+                 .drop("_pid", "_local", "_off"))

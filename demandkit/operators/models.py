@@ -160,7 +160,7 @@ def random_search(train: DataFrame, kind: str, space: dict, n_iter: int, fold_co
     ests = [ESTIMATORS[kind](**c) for c in cands]
     # One pipeline per candidate: CrossValidator needs a single estimator,
     # so the candidates become values of a "stage" parameter map.
-    pipe = Pipeline()
+    pipe = Pipeline(stages=[assembler(features), ests[0]])
     maps = [{pipe.stages: [assembler(features), e]} for e in ests]
     data = train.withColumn("_cv_fold", (F.col(fold_col) - 1).cast("int"))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import item_label
+from ..session import materialize
 from .ordering import exact_quantiles
 
 PAIR = ["product", "brand"]
@@ -216,9 +217,14 @@ def health_action(health: Column) -> Column:
     return m[health]
 
 
-def stock_health(raw: DataFrame, p: InventoryPolicy = DEFAULT_POLICY) -> DataFrame:
-    tot = window_totals(raw, p)
-    q = pair_quantiles(raw, (0.25, 0.10)).select(F.col("q_25").alias("_q25"), F.col("q_10").alias("_q10"))
+def stock_health(raw: DataFrame, p: InventoryPolicy = DEFAULT_POLICY,
+                 latest: DataFrame | None = None) -> DataFrame:
+    """One scan of the sales rows: the per-pair totals (bounded by the
+    number of product x brand pairs) are checkpointed and feed both the
+    quantile thresholds and the classification."""
+    tot = materialize(window_totals(raw, p, latest))
+    q = exact_quantiles(tot, "mean_qty", (0.25, 0.10)).select(
+        F.col("q_25").alias("_q25"), F.col("q_10").alias("_q10"))
     df = tot.crossJoin(F.broadcast(q)).select(
         *PAIR,
         F.col("total_sold").cast("long").alias("total_sold"),

@@ -73,7 +73,7 @@ class Tables:
 
     @cached_property
     def health(self) -> DataFrame:
-        return inv.stock_health(self.sales)
+        return inv.stock_health(self.sales, latest=self.latest)
 
     @cached_property
     def recs(self) -> DataFrame:

@@ -50,20 +50,36 @@ def engineer(sales: DataFrame, daily: DataFrame | None = None, drop: bool = True
     return drop_warmup(df) if drop else df
 
 
+def encoder_mappings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Sorted distinct values of several columns -> codes 0..n-1 per column
+    (byte order, as a sorted list of Python strings), as rows
+    (column_name, value, code). One distributed row index over the stacked
+    distinct values numbers every column at once, so a high-cardinality
+    column (millions of dealers) never meets one task."""
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
+    ])).alias("_e")).select("_e.*").where(F.col("value").isNotNull()).distinct()
+    ix = row_index(values, ["column_name", "value"], "_i")
+    first = ix.groupBy("column_name").agg(F.min("_i").alias("_i0"))  # one row per column
+    return ix.join(F.broadcast(first), "column_name").select(
+        "column_name", "value", (F.col("_i") - F.col("_i0")).alias("code"))
+
+
 def encoder_mapping(df: DataFrame, col: str) -> DataFrame:
-    """Sorted distinct values -> codes 0..n-1 (byte order, as a sorted
-    list of Python strings). Numbered with the distributed row index, so a
-    high-cardinality column (millions of dealers) never meets one task."""
-    values = df.select(col).distinct().where(F.col(col).isNotNull())
-    return row_index(values, [col], f"{col}_encoded")
+    """Mapping of one column as (col, col_encoded)."""
+    m = encoder_mappings(df, [col])
+    return m.select(F.col("value").alias(col), F.col("code").alias(f"{col}_encoded"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL_COLS) -> DataFrame:
-    """Add ``<col>_encoded`` for each column; the (materialized) mapping is
-    broadcast only when a bounded count shows it small."""
+    """Add ``<col>_encoded`` for each column. The mappings of all columns
+    come from one pass and are materialized; each is broadcast only when a
+    bounded count shows it small."""
+    maps = materialize(encoder_mappings(df, cols))
     for c in cols:
-        mapping = materialize(encoder_mapping(df, c))
-        df = df.join(broadcast_if_small(mapping), c, "left")
+        m = maps.where(F.col("column_name") == c).select(
+            F.col("value").alias(c), F.col("code").alias(f"{c}_encoded"))
+        df = df.join(broadcast_if_small(m), c, "left")
     return df
 
 

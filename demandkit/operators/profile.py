@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import parse_percent
-from .ordering import exact_quantiles
+from .ordering import exact_quantiles_grouped
 
 NUMERIC_TYPES = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -45,20 +45,20 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def profile_describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (ddof 1), min, exact 25/50/75 % (linear), max per
-    numeric column. Quartiles come from the distributed exact quantile
-    operator, not from a single aggregation buffer."""
+    numeric column. The columns are unpivoted into (column_name, v) rows
+    in one scan; basic statistics are one grouped aggregate and the
+    quartiles one distributed grouped-quantile pass, never a single
+    aggregation buffer."""
     cols = list(cols or numeric_columns(df))
-    out = None
-    for c in cols:
-        basic = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                       F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                       F.max(c).cast("double").alias("max"))
-        qs = exact_quantiles(df, c, (0.25, 0.5, 0.75))
-        one = basic.crossJoin(qs).select(
-            F.lit(c).alias("column_name"), "count", "mean", "std", "min",
-            F.col("q_25").alias("p25"), F.col("q_50").alias("p50"), F.col("q_75").alias("p75"), "max")
-        out = one if out is None else out.unionByName(one)
-    return out
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column_name", "v")
+    basic = long.groupBy("column_name").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    qs = exact_quantiles_grouped(long, "v", (0.25, 0.5, 0.75), ["column_name"])
+    return basic.join(qs, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min",
+        F.col("q_25").alias("p25"), F.col("q_50").alias("p50"), F.col("q_75").alias("p75"), "max")
 
 
 def profile_duplicates(df: DataFrame) -> DataFrame:

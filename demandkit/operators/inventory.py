@@ -69,10 +69,25 @@ def max_date(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.agg(F.max(date_col).alias("_max_date"))
 
 
+def scan_bound(latest: DataFrame, days: int):
+    """First date of the recent window as a literal, from a one-row
+    (checkpointed) max-date table. This single value is the one scalar we
+    bring to the driver: as a literal the filter reaches the Parquet scan
+    (``l_shipdate >= ...`` is pushed), so only row groups of the recent
+    window are read."""
+    import datetime as dt
+    mx = latest.first()[0]
+    return None if mx is None else mx - dt.timedelta(days=days)
+
+
 def recent_window(df: DataFrame, days: int, date_col: str = "date",
-                  latest: DataFrame | None = None) -> DataFrame:
+                  latest: DataFrame | None = None, since=None) -> DataFrame:
     """Rows with date >= max(date) - days, both ends inclusive (days + 1
-    dates). The max is a one-row table joined by broadcast."""
+    dates). With ``since`` (see :func:`scan_bound`) the bound is a literal
+    that prunes the scan; otherwise the max is a one-row table joined by
+    broadcast."""
+    if since is not None:
+        return df.where(F.col(date_col) >= F.lit(since))
     latest = latest if latest is not None else max_date(df, date_col)
     return (df.crossJoin(F.broadcast(latest))
               .where(F.col(date_col) >= F.date_sub("_max_date", days))

@@ -60,8 +60,9 @@ class Tables:
     def scored(self) -> DataFrame:
         """Recent engineered rows scored by the rolling baseline."""
         pred = inv.baseline_prediction("rolling")
+        since = inv.scan_bound(self.latest, inv.DEFAULT_POLICY.recent_days)
         return inv.recent_window(self.eng, inv.DEFAULT_POLICY.recent_days,
-                                 latest=self.latest).withColumn("prediction", pred)
+                                 since=since).withColumn("prediction", pred)
 
     @cached_property
     def pbf(self) -> DataFrame:

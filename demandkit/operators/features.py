@@ -121,11 +121,12 @@ def demand_features(sales: DataFrame) -> DataFrame:
 
 
 def attach_daily_features(sales: DataFrame, daily: DataFrame, date_col: str = "date",
-                          cols: Sequence[str] = LAG_COLS) -> DataFrame:
+                          cols: Sequence[str] = LAG_COLS, checkpointed: bool = False) -> DataFrame:
     """Left join every sale to its date's features.
 
-    The daily side is checkpointed (it is read again by later stages) and
+    The daily side is checkpointed (unless the caller already did) and
     broadcast only when a bounded count shows it small; the sales side is
     then never shuffled for this join."""
-    side = materialize(daily.select(date_col, *cols))
+    side = daily.select(date_col, *cols)
+    side = side if checkpointed else materialize(side)
     return sales.join(broadcast_if_small(side), date_col, "left")

@@ -40,13 +40,15 @@ def with_calendar(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def engineer(sales: DataFrame, daily: DataFrame | None = None, drop: bool = True,
-             extra_daily: Sequence[str] = ("daily_rows_7_mean",)) -> DataFrame:
+             extra_daily: Sequence[str] = ("daily_rows_7_mean",),
+             daily_checkpointed: bool = False) -> DataFrame:
     """Parse, drop leakage/redundant columns, add calendar and daily
     lag/rolling features (broadcast join), drop warm-up rows."""
     daily = daily if daily is not None else daily_features(sales)
     df = drop_columns(parse_rates(sales), LEAKAGE_COLS + REDUNDANT_COLS)
     df = with_calendar(df)
-    df = attach_daily_features(df, daily, cols=[*LAG_COLS, *extra_daily])
+    df = attach_daily_features(df, daily, cols=[*LAG_COLS, *extra_daily],
+                               checkpointed=daily_checkpointed)
     return drop_warmup(df) if drop else df
 
 

@@ -49,7 +49,17 @@ class Tables:
     def eng(self) -> DataFrame:
         """Engineered rows (calendar + daily features, warm-up dropped),
         unscaled, with the train/test tag."""
-        return prep.time_split(prep.engineer(self.sales, self.daily))
+        return prep.time_split(prep.engineer(self.sales, self.daily, daily_checkpointed=True))
+
+    @cached_property
+    def eng_persisted(self) -> DataFrame:
+        """The engineered rows kept on executors (memory, spilling to disk)
+        for multi-pass consumers: encoder maps, scaler parameters and the
+        scaled output then reuse one evaluation of the fact-table joins
+        instead of re-shuffling the fact table per pass. Lost blocks are
+        recomputed from the (deterministic) lineage."""
+        from pyspark import StorageLevel
+        return self.eng.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def latest(self) -> DataFrame:
@@ -88,7 +98,7 @@ class Tables:
         all rows before the split, as the reference does), persisted for
         the repeated passes of model fitting."""
         from ..operators import models
-        return models.persist_training(prep.standard_scale(prep.label_encode(self.eng)))
+        return models.persist_training(prep.standard_scale(prep.label_encode(self.eng_persisted)))
 
     @cached_property
     def train(self) -> DataFrame:

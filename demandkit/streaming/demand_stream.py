@@ -11,6 +11,7 @@ a restarted job resumes where it stopped.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,22 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
+@contextmanager
+def utc_session(spark: SparkSession):
+    """Event times are zone-less (TIMESTAMP_NTZ) wall clocks; watermarks
+    need TIMESTAMP. The conversion and the 1-day window boundaries are
+    pinned to UTC while the (synchronous, availableNow) query runs; the
+    caller's zone is restored afterwards. Outputs are dates and numbers,
+    so they do not depend on the zone they are later read in."""
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
@@ -67,14 +84,16 @@ def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days")
     """Sales stream -> tumbling 1-day totals, emitted once the watermark
     (max ship time - ``late``) closes the day; later rows for a closed day
     are dropped by the watermark."""
-    li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
-    ts = F.col("l_shipdate").cast("timestamp")
-    daily = (li.select(ts.alias("ts"), F.col("l_quantity").alias("qty"))
-               .withWatermark("ts", late)
-               .groupBy(F.window("ts", "1 day"))
-               .agg(F.sum("qty").alias("daily_total_demand"), F.count(F.lit(1)).alias("daily_rows")))
-    out = daily.select(F.col("window.start").cast("date").alias("date"), "daily_total_demand", "daily_rows")
-    return run_available(out, "daily_demand")
+    with utc_session(spark):
+        li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
+        ts = F.col("l_shipdate").cast("timestamp")
+        daily = (li.select(ts.alias("ts"), F.col("l_quantity").alias("qty"))
+                   .withWatermark("ts", late)
+                   .groupBy(F.window("ts", "1 day"))
+                   .agg(F.sum("qty").alias("daily_total_demand"), F.count(F.lit(1)).alias("daily_rows")))
+        out = daily.select(F.col("window.start").cast("date").alias("date"), "daily_total_demand",
+                           "daily_rows")
+        return run_available(out, "daily_demand")
 
 
 # --- S2: trailing 7-day demand -----------------------------------------------
@@ -82,14 +101,15 @@ def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days")
 def stream_rolling_demand(spark: SparkSession, sf_dir: str, late: str = "1 day") -> DataFrame:
     """Event stream -> sliding 7-day windows advancing by a day, per event
     type; each window is emitted once closed by the watermark."""
-    ev_ = file_stream(spark, sf_dir, "events", EVENTS_SCHEMA)
-    roll = (ev_.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-               .withWatermark("ts", late)
-               .groupBy(F.window("ts", "7 days", "1 day"), "event_type")
-               .agg(F.sum("value").alias("total_value"), F.count(F.lit(1)).alias("n_events")))
-    out = roll.select(F.col("window.start").cast("date").alias("window_start"), "event_type",
-                      F.round("total_value", 6).alias("total_value"), "n_events")
-    return run_available(out, "rolling_demand")
+    with utc_session(spark):
+        ev_ = file_stream(spark, sf_dir, "events", EVENTS_SCHEMA)
+        roll = (ev_.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+                   .withWatermark("ts", late)
+                   .groupBy(F.window("ts", "7 days", "1 day"), "event_type")
+                   .agg(F.sum("value").alias("total_value"), F.count(F.lit(1)).alias("n_events")))
+        out = roll.select(F.col("window.start").cast("date").alias("window_start"), "event_type",
+                          F.round("total_value", 6).alias("total_value"), "n_events")
+        return run_available(out, "rolling_demand")
 
 
 # --- S3: incremental nightly refresh ------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_denominator
 from .inventory import BASELINES, baseline_prediction
+from ..session import broadcast_if_small, materialize
 from .ordering import row_index
 
 GROUP = ["model", "split"]
@@ -79,8 +80,14 @@ def histogram(df: DataFrame, value_col: str, bins: int = 30, group: Sequence[str
     bounds = df.groupBy(*g).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"),
                                 F.count(value_col).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    # The bound table has one row per group; it joins like any aggregate.
-    tagged = df.join(bounds, g) if g else df.crossJoin(F.broadcast(bounds))
+    # One row per group. Groups are few (models, splits), so a shuffle join
+    # on the group key would put a whole group in one task: the bound table
+    # is checkpointed and broadcast behind the bounded-count check instead.
+    if g:
+        bounds = materialize(bounds)
+        tagged = df.join(broadcast_if_small(bounds), g)
+    else:
+        tagged = df.crossJoin(F.broadcast(bounds))
     pos = F.when(F.col("_hi") > F.col("_lo"),
                  F.floor((F.col(value_col) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
                  ).otherwise(F.lit(0))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
@@ -112,8 +112,10 @@ def exact_quantiles_grouped(df: DataFrame, value_col: str, qs: Sequence[float],
     names = [f"q_{round(q * 100, 6):g}".replace(".", "_") for q in qs]
     vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ix = row_index(vals, [*g, "_v"], "_ri", num_partitions=num_partitions)
-    sizes = ix.groupBy(*g).agg(F.min("_ri").alias("_r0"), F.count(F.lit(1)).alias("_n"))
-    ix = ix.join(sizes, g).withColumn("_ri", F.col("_ri") - F.col("_r0"))
+    # One row per group, broadcast behind a bounded count: a shuffle join
+    # on a few group keys would send a whole group to one task.
+    sizes = materialize(ix.groupBy(*g).agg(F.min("_ri").alias("_r0"), F.count(F.lit(1)).alias("_n")))
+    ix = ix.join(broadcast_if_small(sizes), g).withColumn("_ri", F.col("_ri") - F.col("_r0"))
     parts, finals = [], []
     for i, (q, nm) in enumerate(zip(qs, names)):
         pos = (F.col("_n") - 1) * float(q)

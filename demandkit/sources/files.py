@@ -94,12 +94,19 @@ def write_insights(tables: Mapping[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").json(f"{path}/{name}")
 
 
-def nested_document(tables: Mapping[str, DataFrame]) -> DataFrame:
+DOCUMENT_ROW_LIMIT = 100_000
+
+
+def nested_document(tables: Mapping[str, DataFrame], max_rows: int = DOCUMENT_ROW_LIMIT) -> DataFrame:
     """One-row nested document: every (small, post-aggregation) table as an
-    array of structs, like the reference's insight JSON."""
+    array of structs, like the reference's insight JSON. Each table must be
+    proven small by a bounded count first; larger tables belong in
+    :func:`write_insights` (one JSON line per row)."""
     spark = next(iter(tables.values())).sparkSession
     doc = None
     for name, df in tables.items():
+        if df.limit(max_rows + 1).count() > max_rows:
+            raise ValueError(f"{name} has more than {max_rows} rows; write it with write_insights")
         one = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
         doc = one if doc is None else doc.crossJoin(one)
     return doc if doc is not None else spark.range(1).select()

@@ -135,7 +135,12 @@ def product_forecast(raw: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def product_brand_forecast(raw: DataFrame, scored: DataFrame) -> DataFrame:
-    h = history_vs_recent(raw, scored, PAIR)
+    return pbf_from_parts(history_vs_recent(raw, scored, PAIR))
+
+
+def pbf_from_parts(h: DataFrame) -> DataFrame:
+    """Rounded forecast row from per-pair history (hist_mean, hist_std,
+    hist_price, hist_stock) and the recent prediction mean (pred_mean)."""
     return h.select(
         "product", "brand",
         F.round("hist_mean", 1).alias("avg_daily_demand"),
@@ -237,7 +242,12 @@ def stock_health(raw: DataFrame, p: InventoryPolicy = DEFAULT_POLICY,
     """One scan of the sales rows: the per-pair totals (bounded by the
     number of product x brand pairs) are checkpointed and feed both the
     quantile thresholds and the classification."""
-    tot = materialize(window_totals(raw, p, latest))
+    return health_from_totals(materialize(window_totals(raw, p, latest)), p)
+
+
+def health_from_totals(tot: DataFrame, p: InventoryPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Stock health from per-pair totals (product, brand, total_sold,
+    mean_qty, sold_last_90d, sold_last_30d, mean_stock)."""
     q = exact_quantiles(tot, "mean_qty", (0.25, 0.10)).select(
         F.col("q_25").alias("_q25"), F.col("q_10").alias("_q10"))
     df = tot.crossJoin(F.broadcast(q)).select(

@@ -44,3 +44,10 @@ def test_retrain_gate(spark):
                               "model string, split string, r2 double, mae double")
     assert S.retrain_gate(m, "cur", "new").first().accept is True
     assert S.retrain_gate(m, "cur", "bad").first().accept is False
+
+
+def test_nightly_insights_equal_batch_recommendations(spark, small_dir):
+    from demandkit.plans.context import Tables
+    batch = sorted(tuple(r) for r in Tables(spark, small_dir).recs.collect())
+    incremental = sorted(tuple(r) for r in S.nightly_insights(spark, small_dir).collect())
+    assert batch == incremental and len(batch) > 0

@@ -36,11 +36,13 @@ def row_index(df: DataFrame, keys: Sequence[str | Column], idx_col: str = "row_i
     with ``row_number``. ``total_col`` optionally carries the total row
     count on every row.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _as_cols(keys)
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+    # Without an explicit count AQE may coalesce adjacent ranges (small
+    # inputs then use few tasks); positions are taken after the coalesced
+    # read and checkpointed, so counts and positions always agree.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = (ranged.sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = materialize(ranged.withColumn("_pid", F.shiftright("_mid", _POS_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
@@ -132,11 +134,10 @@ def running_sum(df: DataFrame, keys: Sequence[str | Column], value_col: str,
     """Inclusive prefix sum of ``value_col`` in ``keys`` order, computed
     like :func:`row_index`: range partitions, a per-partition running sum,
     plus the totals of all earlier partitions (one row per partition)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _as_cols(keys)
-    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("_pid", F.spark_partition_id()))
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = materialize(ranged.sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id()))
     w_in = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(value_col).over(w_in))
     totals = ranged.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))

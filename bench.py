@@ -36,6 +36,7 @@ HEADLINE = [
     "drift_monitor",
     "stream_daily_demand",
     "nightly_scoring",
+    "nightly_insights",
 ]
 
 

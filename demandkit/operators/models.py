@@ -102,6 +102,8 @@ def pipeline(estimator, features: Sequence[str] = FEATURES) -> Pipeline:
 
 
 def fit(train: DataFrame, estimator, features: Sequence[str] = FEATURES) -> PipelineModel:
+    # Tree learners checkpoint their node-id cache into the shared folder.
+    ensure_checkpoint_dir(train.sparkSession)
     return pipeline(estimator, features).fit(train)
 
 

@@ -43,19 +43,27 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in NUMERIC_TYPES]
 
 
-def profile_describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def profile_describe(df: DataFrame, cols: Sequence[str] | None = None,
+                     approx_accuracy: int | None = None) -> DataFrame:
     """count, mean, std (ddof 1), min, exact 25/50/75 % (linear), max per
     numeric column. The columns are unpivoted into (column_name, v) rows
     in one scan; basic statistics are one grouped aggregate and the
     quartiles one distributed grouped-quantile pass, never a single
-    aggregation buffer."""
+    aggregation buffer. ``approx_accuracy`` switches the quartiles to
+    ``percentile_approx`` (bounded sketches merged map-side) for raw columns
+    too large for an exact range pass."""
     cols = list(cols or numeric_columns(df))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "v")
     basic = long.groupBy("column_name").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
-    qs = exact_quantiles_grouped(long, "v", (0.25, 0.5, 0.75), ["column_name"])
+    if approx_accuracy:
+        pa = F.percentile_approx("v", [0.25, 0.5, 0.75], approx_accuracy)
+        qs = long.groupBy("column_name").agg(pa.alias("_q")).select(
+            "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(("q_25", "q_50", "q_75"))])
+    else:
+        qs = exact_quantiles_grouped(long, "v", (0.25, 0.5, 0.75), ["column_name"])
     return basic.join(qs, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min",
         F.col("q_25").alias("p25"), F.col("q_50").alias("p50"), F.col("q_75").alias("p75"), "max")

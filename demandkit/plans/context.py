@@ -23,6 +23,13 @@ KEY_COLS = list(ROW_KEY)
 _CACHE: dict[tuple[str, str], "Tables"] = {}
 
 
+def reset() -> None:
+    """Forget the shared frames and release everything they persisted."""
+    for t in _CACHE.values():
+        t.release()
+    _CACHE.clear()
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -35,6 +42,12 @@ class Tables:
             _CACHE[key] = cls(spark, sf_dir)
         return _CACHE[key]
 
+    def release(self) -> None:
+        for name in ("eng_persisted", "prepared"):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()
+        self.__dict__.pop("fitted", None)
+
     @cached_property
     def sales(self) -> DataFrame:
         return sales_view(self.spark, self.sf_dir)

@@ -57,10 +57,23 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def file_stream(spark: SparkSession, sf_dir: str, table: str, schema: T.StructType,
                 max_files: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-            .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    """Stream the Parquet files of ``table``: a folder of part files (the
+    usual layout, new files = new data) or a single ``<table>.parquet``
+    file selected from its folder by name."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if _is_dir(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append", partition_by=()) -> DataFrame:

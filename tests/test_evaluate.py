@@ -39,3 +39,11 @@ def test_sample_rows_is_deterministic(spark):
     a = [r.id for r in ev.sample_rows(df, ["id", "k"], 50, 42).collect()]
     b = [r.id for r in ev.sample_rows(df, ["id", "k"], 50, 42).collect()]
     assert a == b and len(set(a)) == 50
+
+
+def test_describe_approx_option(spark):
+    from demandkit.operators.profile import profile_describe
+    df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
+    exact = profile_describe(df, ["x"]).first()
+    approx = profile_describe(df, ["x"], approx_accuracy=10000).first()
+    assert exact.p50 == 500.0 and abs(approx.p50 - 500.0) <= 1

@@ -51,3 +51,12 @@ def test_nightly_insights_equal_batch_recommendations(spark, small_dir):
     batch = sorted(tuple(r) for r in Tables(spark, small_dir).recs.collect())
     incremental = sorted(tuple(r) for r in S.nightly_insights(spark, small_dir).collect())
     assert batch == incremental and len(batch) > 0
+
+
+def test_stream_reads_a_folder_of_part_files(spark, small_dir, tmp_path):
+    # A table laid out as a folder of part files, as on a cluster.
+    li = spark.read.parquet(f"{small_dir}/lineitem.parquet")
+    li.repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = S.file_stream(spark, str(tmp_path), "lineitem", S.LINEITEM_SCHEMA)
+    out = S.run_available(rows.select("l_orderkey"), "folder")
+    assert out.count() == li.count()

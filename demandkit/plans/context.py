@@ -46,7 +46,7 @@ class Tables:
         for name in ("eng_persisted", "prepared"):
             if name in self.__dict__:
                 self.__dict__.pop(name).unpersist()
-        self.__dict__.pop("fitted", None)
+        self.__dict__.pop("_models", None)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -118,12 +118,18 @@ class Tables:
         return self.prepared.where(F.col("split") == "train")
 
     @cached_property
-    def fitted(self) -> dict:
-        """The three reference models with their reference settings, fitted
-        once per dataset and shared by every model query."""
+    def _models(self) -> dict:
+        return {}
+
+    def model(self, name: str):
+        """One of the three reference models with its reference settings,
+        fitted on first use and shared by every later model query."""
         from ..operators import models
-        return {
-            "Linear Regression": models.fit(self.train, models.linear()),
-            "Random Forest": models.fit(self.train, models.forest(**models.FOREST_DEFAULTS)),
-            "XGBoost": models.fit(self.train, models.boosted(**models.BOOSTED_DEFAULTS)),
-        }
+        if name not in self._models:
+            est = {"Linear Regression": lambda: models.linear(),
+                   "Random Forest": lambda: models.forest(**models.FOREST_DEFAULTS),
+                   "XGBoost": lambda: models.boosted(**models.BOOSTED_DEFAULTS)}[name]()
+            self._models[name] = models.fit(self.train, est)
+        return self._models[name]
+
+    MODEL_NAMES = ("Linear Regression", "Random Forest", "XGBoost")

@@ -49,3 +49,13 @@ def test_standard_scale_population_std(spark):
 def test_time_split(spark):
     df = spark.createDataFrame([(dt.date(2000, 6, 30),), (dt.date(2000, 7, 1),)], "date date")
     assert [r.split for r in prep.time_split(df).orderBy("date").collect()] == ["train", "test"]
+
+
+def test_split_partitions_rows(spark, small_dir):
+    from demandkit.plans.context import Tables
+    eng = Tables(spark, small_dir).eng
+    total = eng.count()
+    train = eng.where(F.col("split") == "train")
+    test = eng.where(F.col("split") == "test")
+    assert train.count() + test.count() == total
+    assert train.agg(F.max("date")).first()[0] < test.agg(F.min("date")).first()[0]

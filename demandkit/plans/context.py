@@ -20,7 +20,7 @@ from ..sources.tables import ROW_KEY, sales_view
 
 KEY_COLS = list(ROW_KEY)
 
-_CACHE: dict[tuple[str, str], "Tables"] = {}
+_CACHE: dict[tuple[str, int, str], "Tables"] = {}
 
 
 def reset() -> None:
@@ -37,7 +37,7 @@ class Tables:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
         if key not in _CACHE:
             _CACHE[key] = cls(spark, sf_dir)
         return _CACHE[key]

@@ -81,16 +81,13 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
     """Exact quantiles with linear interpolation (pandas / numpy default,
     SQL ``quantile_cont``), one column ``q_<pct>`` per quantile.
 
-    Global quantiles pick two order statistics per q from a distributed
-    row index, so no task ever holds all values. Grouped quantiles use
-    Spark's exact ``percentile`` per group (each group's values in one
-    buffer), meant for groups of bounded size.
+    Quantiles pick two order statistics per q from a distributed row
+    index, so no task ever holds all values (grouped: see
+    :func:`exact_quantiles_grouped`).
     """
     names = [f"q_{round(q * 100, 6):g}".replace(".", "_") for q in qs]
     if group_cols:
-        arr = F.percentile(F.col(value_col), F.array(*[F.lit(float(q)) for q in qs]))
-        out = df.groupBy(*group_cols).agg(arr.alias("_qs"))
-        return out.select(*group_cols, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
+        return exact_quantiles_grouped(df, value_col, qs, group_cols, num_partitions)
 
     vals = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ix = row_index(vals, ["_v"], "_ri", num_partitions=num_partitions, total_col="_n")

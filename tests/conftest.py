@@ -10,8 +10,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[4]").appName("demandkit-tests")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="dk-warehouse-"))
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")

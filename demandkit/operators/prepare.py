@@ -73,15 +73,19 @@ def encoder_mapping(df: DataFrame, col: str) -> DataFrame:
     return m.select(F.col("value").alias(col), F.col("code").alias(f"{col}_encoded"))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL_COLS) -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL_COLS,
+                 mappings: DataFrame | None = None, unseen: int | None = None) -> DataFrame:
     """Add ``<col>_encoded`` for each column. The mappings of all columns
-    come from one pass and are materialized; each is broadcast only when a
-    bounded count shows it small."""
-    maps = materialize(encoder_mappings(df, cols))
+    come from one pass over ``df`` (or are given, e.g. fitted on training
+    rows) and are materialized; each is broadcast only when a bounded count
+    shows it small. Values without a code get ``unseen`` (NULL by default)."""
+    maps = materialize(mappings if mappings is not None else encoder_mappings(df, cols))
     for c in cols:
         m = maps.where(F.col("column_name") == c).select(
             F.col("value").alias(c), F.col("code").alias(f"{c}_encoded"))
         df = df.join(broadcast_if_small(m), c, "left")
+        if unseen is not None:
+            df = df.withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(unseen).cast("long")))
     return df
 
 

@@ -107,11 +107,17 @@ class Tables:
 
     @cached_property
     def prepared(self) -> DataFrame:
-        """Encoded + scaled engineered rows (encoders and scaler fitted on
-        all rows before the split, as the reference does), persisted for
-        the repeated passes of model fitting."""
+        """Encoded + scaled engineered rows for model fitting. Encoders and
+        scaler are fitted on the training rows only (categories unseen in
+        training get code -1), so no test information leaks into the
+        features; persisted for the repeated passes of model fitting."""
         from ..operators import models
-        return models.persist_training(prep.standard_scale(prep.label_encode(self.eng_persisted)))
+        eng = self.eng_persisted
+        train = eng.where(F.col("split") == "train")
+        maps = prep.encoder_mappings(train, prep.CATEGORICAL_COLS)
+        encoded = prep.label_encode(eng, prep.CATEGORICAL_COLS, mappings=maps, unseen=-1)
+        params = prep.scaler_params(encoded.where(F.col("split") == "train"))
+        return models.persist_training(prep.standard_scale(encoded, params=params))
 
     @cached_property
     def train(self) -> DataFrame:

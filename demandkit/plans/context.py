@@ -43,7 +43,7 @@ class Tables:
         return _CACHE[key]
 
     def release(self) -> None:
-        for name in ("eng_persisted", "prepared"):
+        for name in ("eng_persisted", "eng_model", "prepared"):
             if name in self.__dict__:
                 self.__dict__.pop(name).unpersist()
         self.__dict__.pop("_models", None)
@@ -105,14 +105,25 @@ class Tables:
 
     # --- modelling ----------------------------------------------------------
 
+    @cached_property
+    def eng_model(self) -> DataFrame:
+        """Engineered rows for model fitting: rolling windows exclude the
+        current day (its total contains the row's own target), persisted
+        for the passes of encoding, scaling and fitting."""
+        from pyspark import StorageLevel
+        daily = materialize(feat.daily_features(self.sales, exclude_current=True))
+        eng = prep.time_split(prep.engineer(self.sales, daily, daily_checkpointed=True))
+        return eng.persist(StorageLevel.MEMORY_AND_DISK)
+
     @cached_property
     def prepared(self) -> DataFrame:
-        """Encoded + scaled engineered rows for model fitting. Encoders and
-        scaler are fitted on the training rows only (categories unseen in
-        training get code -1), so no test information leaks into the
-        features; persisted for the repeated passes of model fitting."""
+        """Encoded + scaled engineered rows for model fitting (rolling
+        windows without the current day). Encoders and scaler are fitted on
+        the training rows only (categories unseen in training get code -1),
+        so no test information leaks into the features; persisted for the
+        repeated passes of model fitting."""
         from ..operators import models
-        eng = self.eng_persisted
+        eng = self.eng_model
         train = eng.where(F.col("split") == "train")
         maps = prep.encoder_mappings(train, prep.CATEGORICAL_COLS)
         encoded = prep.label_encode(eng, prep.CATEGORICAL_COLS, mappings=maps, unseen=-1)

@@ -44,6 +44,17 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("demandkit-bench", cpus=cpus, shuffle_partitions=int(cpus) * 2)
+    # Optional stage/task timings: Spark's event log into a scratch folder
+    # (BENCH_EVENT_LOG_DIR); the web UI stays off.
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:
+        spark.stop()
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master(f"local[{cpus}]").appName("demandkit-bench")
+                 .config("spark.ui.enabled", "false").config("spark.eventLog.enabled", "true")
+                 .config("spark.eventLog.dir", log_dir)
+                 .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
+                 .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     qs = registry.query_callables()
     names = [n for n in HEADLINE if n in qs]
     # Warm-up: JVM start, class loading and codegen caches.

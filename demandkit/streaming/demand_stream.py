@@ -260,11 +260,12 @@ def insights_from_state(state: DataFrame, p: inv.InventoryPolicy = inv.DEFAULT_P
     return inv.recommendations(inv.inventory_optimization(pbf, p), health, p)
 
 
-def nightly_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nightly_insights(spark: SparkSession, sf_dir: str, output: str | None = None) -> DataFrame:
     """Nightly job: each micro-batch of new sales is folded into per-epoch
     (date, product, brand) partial sums; recommendations are then rebuilt
     from that state alone, so a night's work is the new files plus a state
-    bounded by dates x pairs, never a rescan of the history."""
+    bounded by dates x pairs, never a rescan of the history. With
+    ``output`` the refreshed table overwrites the previous one there."""
     base = _run_dir(spark, "insights")
     state_path = f"{base}/pair_state"
     part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").select(*PART_COLS, "p_retailprice")
@@ -281,4 +282,9 @@ def nightly_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     state = spark.read.parquet(state_path).groupBy("date", "product", "brand").agg(
         *[F.sum(c).alias(c) for c in ("n", "s_qty", "s_qty2", "s_price", "s_stock")])
-    return insights_from_state(state)
+    recs = insights_from_state(state)
+    if output:
+        # The refreshed table replaces the previous night's output.
+        recs.write.mode("overwrite").parquet(output)
+        return spark.read.parquet(output)
+    return recs

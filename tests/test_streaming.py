@@ -60,3 +60,10 @@ def test_stream_reads_a_folder_of_part_files(spark, small_dir, tmp_path):
     rows = S.file_stream(spark, str(tmp_path), "lineitem", S.LINEITEM_SCHEMA)
     out = S.run_available(rows.select("l_orderkey"), "folder")
     assert out.count() == li.count()
+
+
+def test_nightly_insights_overwrites_output(spark, small_dir, tmp_path):
+    out = str(tmp_path / "recs")
+    first = S.nightly_insights(spark, small_dir, output=out).count()
+    second = S.nightly_insights(spark, small_dir, output=out).count()
+    assert first == second > 0

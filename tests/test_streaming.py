@@ -67,3 +67,27 @@ def test_nightly_insights_overwrites_output(spark, small_dir, tmp_path):
     first = S.nightly_insights(spark, small_dir, output=out).count()
     second = S.nightly_insights(spark, small_dir, output=out).count()
     assert first == second > 0
+
+
+def test_watermark_counts_late_rows_and_drops_closed_days(spark, tmp_path):
+    import time
+
+    def rows(days):
+        return [(i, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", dt.datetime(2024, 1, d, 12)) for i, d in enumerate(days)]
+
+    # Three files, one micro-batch each (in modification-time order):
+    # Jan 1-10; then Jan 20 plus a late row for Jan 9 (still within the
+    # 2-day watermark of that batch); then a row for Jan 2, whose day was
+    # closed and emitted by the previous batch.
+    folder = tmp_path / "flat" / "lineitem.parquet"
+    folder.mkdir(parents=True)
+    for i, days in enumerate([range(1, 11), [20, 9], [2]]):
+        out = tmp_path / f"b{i}"
+        spark.createDataFrame(rows(days), S.LINEITEM_SCHEMA).coalesce(1).write.parquet(str(out))
+        (folder / f"part-{i}.parquet").write_bytes(next(out.glob("*.parquet")).read_bytes())
+        time.sleep(1.1)
+    got = {r.date.day: r.daily_rows for r in S.stream_daily_demand(spark, str(tmp_path / "flat")).collect()}
+    assert got[9] == 2          # late, within the watermark: counted
+    assert got[2] == 1          # day already closed: the late row is dropped
+    assert 20 not in got        # the last day is still open
+    assert sorted(got) == list(range(1, 11))

@@ -192,9 +192,17 @@ def cross_validate(train: DataFrame, estimator, fold_col: str = "fold",
     return out
 
 
-def persist_training(df: DataFrame) -> DataFrame:
+def persist_training(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Keep the training frame in memory/disk for the many passes of a
-    fit session; lost blocks are recomputed from (deterministic) lineage."""
+    fit session; lost blocks are recomputed from (deterministic) lineage.
+
+    Tree learners aggregate split statistics per partition, so a frame that
+    AQE coalesced into fewer partitions than there are cores is spread out
+    first: hash-partitioned on ``keys`` (deterministic, so a recomputed
+    block holds the same rows and bagging draws the same samples)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, *keys) if keys else df.repartition(cores)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 

@@ -128,7 +128,7 @@ class Tables:
         maps = prep.encoder_mappings(train, prep.CATEGORICAL_COLS)
         encoded = prep.label_encode(eng, prep.CATEGORICAL_COLS, mappings=maps, unseen=-1)
         params = prep.scaler_params(encoded.where(F.col("split") == "train"))
-        return models.persist_training(prep.standard_scale(encoded, params=params))
+        return models.persist_training(prep.standard_scale(encoded, params=params), KEY_COLS)
 
     @cached_property
     def train(self) -> DataFrame:

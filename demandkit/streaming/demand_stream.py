@@ -125,6 +125,19 @@ def stream_rolling_demand(spark: SparkSession, sf_dir: str, late: str = "1 day")
         return run_available(out, "rolling_demand")
 
 
+def stream_rolling_sales(spark: SparkSession, sf_dir: str, late: str = "1 day") -> DataFrame:
+    """Sales stream -> trailing 7-day demand ending each day (sliding
+    windows advancing by a day), emitted once closed by the watermark."""
+    with utc_session(spark):
+        li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
+        roll = (li.select(F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_quantity").alias("qty"))
+                  .withWatermark("ts", late)
+                  .groupBy(F.window("ts", "7 days", "1 day"))
+                  .agg(F.sum("qty").alias("demand_7d"), F.count(F.lit(1)).alias("sales_7d")))
+        out = roll.select(F.col("window.start").cast("date").alias("window_start"), "demand_7d", "sales_7d")
+        return run_available(out, "rolling_sales")
+
+
 # --- S3: incremental nightly refresh ------------------------------------------
 
 def nightly_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

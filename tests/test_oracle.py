@@ -9,7 +9,7 @@ from demandkit.sources.tables import TABLES
 
 NAMES = ["demand_features", "product_brand_forecast", "inventory_optimization", "stock_health",
          "recommendations", "regression_metrics", "contiguous_folds", "pair_quantiles", "histogram",
-         "label_encode", "drift_monitor", "box_stats"]
+         "label_encode", "drift_monitor", "box_stats", "stream_rolling_sales", "nightly_insights"]
 
 
 def _norm(v):

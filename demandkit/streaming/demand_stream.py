@@ -168,11 +168,16 @@ def nightly_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- S4: drift monitor ----------------------------------------------------------
 
-def daily_error(engineered: DataFrame, model: str = "rolling") -> DataFrame:
+def daily_error(engineered: DataFrame, model: str = "rolling", prediction=None,
+                actual: str = "qty") -> DataFrame:
     """Per-date MAE of a per-sale forecast against the actual quantity,
     summed on exact decimals so the daily value does not depend on the
-    order in which partitions are combined."""
-    err = F.abs(F.col("qty") - inv.baseline_prediction(model)).cast("decimal(38,18)")
+    order in which partitions are combined. ``prediction`` (a column, e.g.
+    a fitted model's output) replaces the named baseline."""
+    pred = prediction if prediction is not None else inv.baseline_prediction(model)
+    if isinstance(pred, str):
+        pred = F.col(pred)
+    err = F.abs(F.col(actual) - pred).cast("decimal(38,18)")
     return engineered.groupBy("date").agg(F.avg(err).cast("double").alias("mae"))
 
 

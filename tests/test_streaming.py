@@ -91,3 +91,9 @@ def test_watermark_counts_late_rows_and_drops_closed_days(spark, tmp_path):
     assert got[2] == 1          # day already closed: the late row is dropped
     assert 20 not in got        # the last day is still open
     assert sorted(got) == list(range(1, 11))
+
+
+def test_daily_error_accepts_prediction_column(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 3.0, 1.0), (dt.date(2024, 1, 1), 5.0, 6.0)],
+                               "date date, qty double, p double")
+    assert S.daily_error(df, prediction="p").first().mae == 1.5

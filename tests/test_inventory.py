@@ -87,3 +87,11 @@ def test_priority_rank_urgent_first(spark):
     from pyspark.sql import functions as F
     got = [r.priority for r in df.withColumn("r", inv.priority_rank(F.col("priority"))).orderBy("r").collect()]
     assert got == ["Urgent", "High", "Medium", "Low", "Normal"]
+
+
+def test_policy_parameters_flow_through(spark):
+    p = inv.InventoryPolicy(lead_time_days=14, z=2.33)
+    df = spark.createDataFrame([("P", "B", 10.0, 9.0, 2.0, 100.0, 50.0)], PBF)
+    r = inv.inventory_optimization(df, p).first()
+    ss = round(2.33 * 2.0 * math.sqrt(14), 1)
+    assert (r.safety_stock, r.reorder_point, r.lead_time) == (ss, round(140 + ss, 1), 14)

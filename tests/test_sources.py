@@ -43,3 +43,12 @@ def test_write_prepared_partitions_and_json_roundtrip(spark, small_dir, tmp_path
     doc.coalesce(1).write.json(str(tmp_path / "doc"))
     back = files.read_results_json(spark, str(tmp_path / "doc"))
     assert len(back.first()["n"]) == 25
+
+
+def test_malformed_csv_lines_are_kept_aside(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("Date,Product,Size\n01-02-2024,Boots,9\n02-02-2024,Flats,not-a-size\n")
+    df = files.read_sales_csv(spark, str(p), ["Date", "Product", "Size"]).cache()
+    assert df.count() == 2
+    bad = df.where(F.col(files.CORRUPT).isNotNull()).collect()
+    assert len(bad) == 1 and bad[0]["product"] == "Flats" and bad[0]["size"] is None

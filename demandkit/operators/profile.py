@@ -121,6 +121,23 @@ def validate_profit(df: DataFrame, price: str = "unit_price", margin: str = "mar
                   F.count(F.lit(1)).alias("n_rows"))
 
 
+def validate_identities(df: DataFrame, checks: dict, tolerance: float = 1.0) -> DataFrame:
+    """Several column identities in one pass: ``checks`` maps a name to
+    (stored column, expected expression); one row per check with the
+    largest absolute difference and the rows beyond ``tolerance``."""
+    aggs = []
+    for name, (stored, expected) in checks.items():
+        diff = F.abs(F.col(stored) - expected)
+        aggs += [F.round(F.max(diff), 6).alias(f"{name}__max"), F.count_if(diff > tolerance).alias(f"{name}__n")]
+    row = df.agg(*aggs)
+    out = None
+    for name in checks:
+        one = row.select(F.lit(name).alias("check"), F.col(f"{name}__max").alias("max_diff"),
+                         F.col(f"{name}__n").alias("n_over_tolerance"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def validate_dependency(df: DataFrame, key: str = "dealer", value: str = "dealer_location") -> DataFrame:
     """Functional dependency key -> value: distinct values per key."""
     per = df.groupBy(key).agg(F.count_distinct(value).alias("n_values"))

@@ -43,6 +43,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    if not cpus.isdigit():  # e.g. "*": all cores of the machine
+        cpus = str(os.cpu_count() or 8)
     spark = build_session("demandkit-bench", cpus=cpus, shuffle_partitions=int(cpus) * 2)
     # Optional stage/task timings: Spark's event log into a scratch folder
     # (BENCH_EVENT_LOG_DIR); the web UI stays off.

@@ -3,8 +3,14 @@ written intermediate tables."""
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +68,33 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    executors need no copy of it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).resolve().parents[1]
+    # Executors fetch the archive from the driver at their first task: it stays until the driver ends.
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="code-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with the package at hand on the workers."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def key_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of equal ``key`` from batches sorted by ``key`` (runs may span
     batches)."""
@@ -97,7 +130,7 @@ def map_passes(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], dict
             yield pa.RecordBatch.from_arrays(
                 [as_array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def as_array(values, kind: pa.DataType) -> pa.Array:

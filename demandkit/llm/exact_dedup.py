@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, utf8, write_table
+from .common import arrow_schema, map_arrow, utf8, write_table
 
 #: Bytes of distinct content that one table may hold before its bucket spills.
 TABLE_BYTES = 64 << 20
@@ -212,11 +212,10 @@ def groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     The collapsed rows are written once, so that a retried task cannot name
     its representatives anew; the members then find their class by the
     representative of their own task, a key without skew."""
-    members = write_table(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-            .mapInArrow(_collapse(table_bytes, table_bytes), MEMBER), "exact-members")
-    classes = (members.where("n > 0").select("hash", "text", "rid", "doc_id", "n")
-               .repartition("hash").mapInArrow(_classes(table_bytes), CLASS))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
+    members = write_table(map_arrow(slim, _collapse(table_bytes, table_bytes), MEMBER), "exact-members")
+    heads = members.where("n > 0").select("hash", "text", "rid", "doc_id", "n")
+    classes = map_arrow(heads.repartition("hash"), _classes(table_bytes), CLASS)
     return (members.select("rid", "rep", "doc_id", "text_sha256").join(classes, "rep")
             .select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"),
                     "text_sha256"))
@@ -264,7 +263,7 @@ def deduplicate(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
         if out:
             yield _batch(out, schema)
 
-    kept = slim.mapInArrow(thin, slim.schema).repartition("hash").mapInArrow(winners, slim.schema)
+    kept = map_arrow(map_arrow(slim, thin, slim.schema).repartition("hash"), winners, slim.schema)
     return kept.select(*[F.col("text").cast("string").alias("text") if c == "text"
                          else F.col(f"row.c{others.index(c)}").alias(c) for c in names])
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import row_index
-from .common import arrow_schema, checkpointed, key_runs, map_passes, small, utf8
+from .common import arrow_schema, checkpointed, key_runs, map_arrow, map_passes, small, utf8
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -155,8 +155,8 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     while True:
         # A node of the tree is (source, slice): one column, as runs of equal keys are read.
         keyed = rows.withColumn("node", F.col("source_no") * F.lit(1 << 40) + F.col("node"))
-        keyed = (keyed.repartition("node").sortWithinPartitions("node", "doc_id", "size", "doc_key")
-                 .mapInArrow(_round_nodes(level, seed), _LEAF))
+        keyed = map_arrow(keyed.repartition("node").sortWithinPartitions("node", "doc_id", "size", "doc_key"),
+                          _round_nodes(level, seed), _LEAF)
         keyed = checkpointed(keyed.withColumn("node", F.col("node") % F.lit(1 << 40)))
         open_ = (F.col("fraction") > 0) & (F.col("fraction") < 1) & (F.col("size") > 0)
         if most_nodes == 1:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_passes, utf8
+from .common import map_arrow, map_passes, utf8
 
 KINDS = ("assign", "access", "hex", "literal")
 
@@ -171,7 +171,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, b.schema.field(i).type) if j == i else c for j, c in enumerate(b.columns)], schema=b.schema)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def _redacted(text: str | None, mark: str) -> str | None:

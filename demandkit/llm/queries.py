@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, quality, secrets, toxicity
+from . import byte_bpe, exact_dedup, minhash, mixing, quality, secrets, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(documents(spark, sf_dir))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.components(documents(spark, sf_dir), width=3, similarity=0.85)
+
+
 def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
@@ -48,7 +52,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_exact_dedup, op3_quality_mil, op6_toxic_segments, op7_source_mix, op9_byte_bpe, op10_secret_scan)}
+    op1_exact_dedup, op2_minhash, op3_quality_mil, op6_toxic_segments, op7_source_mix, op9_byte_bpe, op10_secret_scan)}
 
 # A-Z alone go to lower case, as in the operator.
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, minhash, mixing, quality, secrets, toxicity
+from . import byte_bpe, embeddings, exact_dedup, minhash, mixing, quality, secrets, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), *tokenizer())
 
@@ -52,7 +56,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_exact_dedup, op2_minhash, op3_quality_mil, op6_toxic_segments, op7_source_mix, op9_byte_bpe, op10_secret_scan)}
+    op1_exact_dedup, op2_minhash, op3_quality_mil, op6_toxic_segments, op7_source_mix, op8_embedding_tiles,
+    op9_byte_bpe, op10_secret_scan)}
 
 # A-Z alone go to lower case, as in the operator.
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
@@ -63,4 +68,18 @@ ORACLES: dict[str, str] = {
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t""",
+    "op8_embedding_tiles": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id
+                  AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach(n, r) AS (SELECT vec_id, vec_id FROM embeddings
+                        UNION SELECT reach.n, links.v FROM reach JOIN links ON reach.r = links.u)
+        SELECT e.vec_id, coalesce(l.n, 0) AS n_links, c.r AS component_id, e.vec_id = c.r AS kept
+        FROM embeddings e
+        LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) l ON e.vec_id = l.u
+        JOIN (SELECT n, min(r) AS r FROM reach GROUP BY n) c ON e.vec_id = c.n""",
 }

@@ -120,12 +120,12 @@ def key_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def map_passes(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], dict],
-               column: str = "text") -> DataFrame:
+               column: str = "text", size: int = PASS_BYTES) -> DataFrame:
     """``mapInArrow`` over bounded passes; ``step`` returns columns."""
     arrow = arrow_schema(schema)
 
     def run(batches):
-        for part in passes(batches, column):
+        for part in passes(batches, column, size=size):
             out = step(part)
             yield pa.RecordBatch.from_arrays(
                 [as_array(out[f.name], f.type) for f in arrow], schema=arrow)

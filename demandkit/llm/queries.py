@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, toxicity
+from . import byte_bpe, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, suffix_dedup, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, 0.0 if model else quality.prevalence(labels))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.clean(documents(spark, sf_dir)).drop("text")
 
@@ -60,7 +64,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_exact_dedup, op2_minhash, op3_quality_mil, op5_line_templates, op6_toxic_segments, op7_source_mix, op8_embedding_tiles,
+    op1_exact_dedup, op2_minhash, op3_quality_mil, op4_suffix_dedup, op5_line_templates, op6_toxic_segments, op7_source_mix, op8_embedding_tiles,
     op9_byte_bpe, op10_secret_scan)}
 
 # A-Z alone go to lower case, as in the operator.

@@ -33,6 +33,8 @@ MODULUS, HELD = 5, 0
 THRESHOLD = 0.3
 
 PASSAGE_BYTES = 512
+#: Bytes of text encoded at once; the arrays take some 100 times as much.
+ENCODE_BYTES = 2 << 20
 HIDDEN, GATES = 24, 12
 STEPS, RATE, DECAY = 250, 0.02, 1e-3
 SEED = 11
@@ -162,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model | Non
         return {"doc_id": b.column("doc_id"), "label": b.column("label"),
                 "x": [x[i:j].ravel() for i, j in zip(at[:-1], at[1:], strict=True)]}
 
-    got = map_passes(sample.select("doc_id", "label", "text"), "doc_id long, label int, x array<float>", step).toArrow()
+    got = map_passes(sample.select("doc_id", "label", "text"), "doc_id long, label int, x array<float>", step,
+                     size=ENCODE_BYTES).toArrow()
     got = got.sort_by([("doc_id", "ascending")])
     y = np.array(got.column("label").to_pylist(), float)
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, FEATURES).astype(float)
@@ -183,7 +186,7 @@ def score(docs: DataFrame, model: Model | None, otherwise: float = 1.0) -> DataF
         values = [otherwise] * len(texts) if model is None else model.scores(texts).astype(float)
         return {"doc_id": b.column("doc_id"), "score": values}
 
-    return (map_passes(slim, "doc_id long, score double", step)
+    return (map_passes(slim, "doc_id long, score double", step, size=ENCODE_BYTES)
             .select("doc_id", (remainder(MODULUS) == HELD).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 

@@ -13,15 +13,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandkit.llm import byte_bpe, exact_dedup, mixing
+from demandkit.llm import byte_bpe, exact_dedup, minhash, mixing, toxicity
 from demandkit.llm.queries import tokenizer
 from demandkit.session import ensure_checkpoint_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under the operator's threshold. The model is
+    fitted on the labelled ones among them."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shingles of five words, similarity of 0.8 or more."""
+    return minhash.deduplicate(docs, width=5, similarity=0.8)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
@@ -31,7 +42,9 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("minhash", drop_near_copies),
     ("source_mix", mix_sources),
     ("byte_bpe", tokenise),
 ]

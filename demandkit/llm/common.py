@@ -54,6 +54,17 @@ def passes(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int =
             yield batch.slice(at)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: the lineage is cut, and a lost executor loses nothing."""

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textcodes
-from .common import arrow_schema, checkpointed, map_arrow, map_passes, utf8, write_table
+from .common import arrow_schema, checkpointed, free_names, map_arrow, map_passes, utf8, write_table
 from .graph import connected_components
 
 BANDS = 48
@@ -388,5 +388,6 @@ def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, block:
     """The documents, all columns as they are, without those whose component
     holds a smaller doc_id. Rows that repeat a kept doc_id stay."""
     gone = checkpointed(components(docs, width, similarity, block).where("NOT kept AND doc_id IS NOT NULL")
-                        .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+                        .select("doc_id").distinct())
+    [name] = free_names(docs, "gone_id")
+    return docs.join(gone.withColumnRenamed("doc_id", name), F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import row_index
-from .common import arrow_schema, checkpointed, key_runs, map_arrow, map_passes, small, utf8
+from .common import arrow_schema, checkpointed, free_names, key_runs, map_arrow, map_passes, small, utf8
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -186,9 +186,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     doc_id and text are one document here, whose copies add up."""
     taken = (copies(docs, **options).where("copies > 0").groupBy("doc_id", "doc_key")
              .agg(F.sum("copies").cast("int").alias("_copies")))
-    taken = taken.withColumnsRenamed({"doc_id": "_id", "doc_key": "_dk"})
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return (keyed.dropDuplicates(["doc_id", "_key"])
-            .join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_dk")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    key, same_id, same_key, n, copy = free_names(docs, "text_key", "taken_id", "taken_key", "taken_copies", "copy_no")
+    taken = taken.withColumnsRenamed({"doc_id": same_id, "doc_key": same_key, "_copies": n})
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return (keyed.dropDuplicates(["doc_id", key])
+            .join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col(same_id)) & (F.col(key) == F.col(same_key)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

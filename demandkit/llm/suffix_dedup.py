@@ -93,10 +93,15 @@ def segments(pieces: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tup
 
 
 def earliest(key: np.ndarray, text: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (key, text, doc, start), and whether each (key, text) is new there."""
+    """Order by (key, text, doc, start), and whether each (key, text) is new
+    there. A place that comes twice (from a repeated row) is taken once."""
     order = np.lexsort((start, doc, text, key))
-    k, t = key[order], text[order]
-    return order, np.r_[True, (k[1:] != k[:-1]) | (t[1:] != t[:-1])] if len(k) else np.zeros(0, bool)
+    if not len(order):
+        return order, np.zeros(0, bool)
+    k, t, d, s = key[order], text[order], doc[order], start[order]
+    new = np.r_[True, (k[1:] != k[:-1]) | (t[1:] != t[:-1])]
+    once = new | np.r_[True, (d[1:] != d[:-1]) | (s[1:] != s[:-1])]
+    return order[once], new[once]
 
 
 def stretches(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,17 +227,17 @@ def words(buffer: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(buffer: np.ndarray) -> np.ndarray:
-    """All suffixes in order, by Larsson-Sadakane refinement: sorted by eight
-    bytes first; then only groups of equal suffixes are sorted, by the group
+    """All suffixes in order, by Larsson-Sadakane refinement: sorted by seven
+    bytes first (and how many there are, as the end comes before any byte); then only groups of equal suffixes are sorted, by the group
     of the suffix that many bytes on, which doubles the bytes each time."""
-    first = words(buffer)
-    order = np.argsort(first, kind="stable")
     n = len(buffer)
+    first = (words(buffer) & ~np.uint64(0xFF)) | np.minimum(n - np.arange(n), 7).astype(np.uint64)
+    order = np.argsort(first, kind="stable")
     new = np.r_[True, first[order][1:] != first[order][:-1]]
     group = np.empty(n + 1, np.int64)  # a group's number is the place of its first suffix
     group[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     group[n] = -1
-    known = 8
+    known = 7
     while True:
         edge = np.flatnonzero(new)
         sizes = np.diff(np.r_[edge, n])

@@ -213,12 +213,13 @@ def link_group(sets: list[np.ndarray], bits: np.ndarray, known: list[int], perce
     return links, degree
 
 
-_LINK = "u long, v long, block string, degree long"
+_LINK = "u long, v long, label long, block string, degree long"
 
 
 def _confirm(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) of the groups named by ``block``, and every member with
-    itself (u = v) and its number of links. Rows: block, node, known, d1,
+    itself (u = v), the smallest member it is connected to, and its number
+    of links. Rows: block, node, known, d1,
     d2, bits, text; groups are dealt over tasks and read one after another."""
     schema = arrow_schema(_LINK)
     functions = BANDS * rows_per_band(percent / 100)
@@ -238,9 +239,12 @@ def _confirm(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 bits = np.array([np.frombuffer(group["bits"][i], np.uint8) for i in at])
                 links, degree = link_group([sets[i] for i in at], bits, [group["known"][i] for i in at],
                                            percent, functions) if len(at) > 1 else ([], [0] * len(at))
-                block = group["block"][start - 1]
-                out += [(group["node"][at[i]], group["node"][at[j]], block, 0) for i, j in links]
-                out += [(group["node"][i], group["node"][i], block, d) for i, d in zip(at, degree, strict=True)]
+                block, node = group["block"][start - 1], [group["node"][i] for i in at]
+                forest = Forest(len(at))  # rows are sorted: the first member of a tree is the smallest
+                for i, j in links:
+                    forest.join(i, j)
+                out += [(node[i], node[j], 0, block, 0) for i, j in links]
+                out += [(x, x, node[forest.root(i)], block, d) for i, (x, d) in enumerate(zip(node, degree, strict=True))]
             if len(out) > 20_000:
                 yield _rows(out, schema)
                 out = []
@@ -324,10 +328,14 @@ def components(docs: DataFrame, width: int = 5, similarity: float = 0.8, block:
     nameless = not signed.where(F.col("id") >= NO_ID).isEmpty()
     base = member.withColumn("known", F.lit(-1))
     inside = checkpointed(confirm(base.withColumn("block", F.concat_ws("/", "candidate", "part"))))
-    links = inside.where("u != v").select("u", "v")
+    label = inside.where("u = v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("label"))
     if not member.where("blocks > 1").isEmpty():
-        links = _across(base.where("blocks > 1"), inside, links, confirm, block)
-    label = connected_components(links)
+        large = base.where("blocks > 1")
+        split = inside.join(large.select(F.col("node").alias("u")).distinct(), "u", "left_semi")
+        links = split.where("u != v").select("u", "v")
+        joined = connected_components(_across(large, split, links, confirm, block))
+        label = label.join(joined.withColumnRenamed("label", "wide"), "node", "left").select(
+            "node", F.coalesce("wide", "label").alias("label"))
     vertex = classes.select(*key, "node").join(label, "node", "left").select(
         *key, F.coalesce("label", "node").alias("component"))
     same = [signed[c] == vertex[c] for c in key]

@@ -30,13 +30,22 @@ def long_predictions(df: DataFrame, models: Sequence[str] = tuple(BASELINES),
                      F.explode(arr).alias("_p")).select(*keys, "split", "actual", "_p.model", "_p.prediction")
 
 
+def r_squared(y: str = "actual", p: str = "prediction"):
+    """Coefficient of determination over the rows that have both values. A
+    constant target gives 1 for a perfect prediction, else 0."""
+    err = F.col(y) - F.col(p)
+    known = F.when(err.isNotNull(), F.col(y))
+    residual, total = F.sum(err * err), F.var_pop(known) * F.count(known)
+    return F.when(total > 0, 1 - residual / F.when(total > 0, total)).when(residual == 0, F.lit(1.0)).when(
+        residual > 0, F.lit(0.0))
+
+
 def metric_columns(y: str = "actual", p: str = "prediction") -> list:
     err = F.col(y) - F.col(p)
-    n = F.count(F.lit(1))
     return [
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (1 - F.sum(err * err) / (F.var_pop(y) * n)).alias("r2"),
+        r_squared(y, p).alias("r2"),
         (F.avg(F.abs(err / safe_denominator(y))) * 100).alias("mape"),
     ]
 
@@ -77,7 +86,10 @@ def histogram(df: DataFrame, value_col: str, bins: int = 30, group: Sequence[str
     bins appear with count 0 (join to the bin sequence). Output
     (group..., bin 1..n, lo, hi, count[, density])."""
     g = list(group)
-    bounds = df.groupBy(*g).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"),
+    lo, hi = F.min(value_col), F.max(value_col)
+    # A constant column has a range of one around its value.
+    bounds = df.groupBy(*g).agg(F.when(lo < hi, lo).otherwise(lo - 0.5).alias("_lo"),
+                                F.when(lo < hi, hi).otherwise(hi + 0.5).alias("_hi"),
                                 F.count(value_col).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     # One row per group. Groups are few (models, splits), so a shuffle join
@@ -112,7 +124,8 @@ def bin_midpoints(hist: DataFrame) -> DataFrame:
 def best_model(metrics: DataFrame, split: str = "test", by: str = "r2") -> DataFrame:
     """The model with the highest ``by`` on ``split``."""
     m = metrics.where(F.col("split") == split)
-    return m.agg(F.max_by("model", F.col(by)).alias("best_model"), F.max(by).alias(by))
+    top = F.min_by("model", F.struct(-F.col(by), F.col("model")))  # of equal ones the first name
+    return m.agg(top.alias("best_model"), F.max(by).alias(by))
 
 
 def model_comparison(metrics: DataFrame, split: str = "test") -> DataFrame:
@@ -132,7 +145,9 @@ def cv_summary(fold_metrics: DataFrame, group: Sequence[str] = ("model",)) -> Da
 
 def best_error(wide: DataFrame, models: Sequence[str], actual: str = "actual") -> DataFrame:
     """Least absolute error across model columns, per row."""
-    return wide.withColumn("best_err", F.round(F.least(*[F.abs(F.col(actual) - F.col(m)) for m in models]), 1))
+    least = F.least(*[F.abs(F.col(actual) - F.col(m)) for m in models])
+    # Rounded on decimals: a half goes the same way in any engine.
+    return wide.withColumn("best_err", F.round(least.cast("decimal(38,6)"), 1).cast("double"))
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int = 200, seed: int = 42) -> DataFrame:
@@ -147,6 +162,8 @@ def row_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return row_index(df, keys, "row_idx")
 
 
-def rank_within(df: DataFrame, group: str, order_col: str, out: str = "rank") -> DataFrame:
-    """Rank rows of small per-model tables (importances, coefficients)."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(F.desc(order_col))))
+def rank_within(df: DataFrame, group: str, order_col: str, name_col: str, out: str = "rank") -> DataFrame:
+    """Rank rows of small per-model tables (importances, coefficients);
+    equal values rank by name."""
+    return df.withColumn(out, F.row_number().over(
+        Window.partitionBy(group).orderBy(F.desc(order_col), F.col(name_col))))

@@ -79,51 +79,42 @@ def contiguous_folds(df: DataFrame, keys: Sequence[str | Column], k: int = 5,
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / numpy default,
-    SQL ``quantile_cont``), one column ``q_<pct>`` per quantile.
+    SQL ``quantile_cont``), one column ``q_<pct>`` per quantile, per group.
 
-    Quantiles pick two order statistics per q from a distributed row
-    index, so no task ever holds all values (grouped: see
-    :func:`exact_quantiles_grouped`).
-    """
+    Rows are counted by (group, value) first, with partial counts before the
+    shuffle, so a value that many rows share is one row from there on, and
+    what is sorted and checkpointed are distinct values, never the rows. A
+    running sum of the counts gives the position of each value; every
+    quantile picks the values that hold its two positions."""
+    g = list(group_cols)
     names = [f"q_{round(q * 100, 6):g}".replace(".", "_") for q in qs]
-    if group_cols:
-        return exact_quantiles_grouped(df, value_col, qs, group_cols, num_partitions)
-
-    vals = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ix = row_index(vals, ["_v"], "_ri", num_partitions=num_partitions, total_col="_n")
+    counts = (df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    run = running_sum(counts, [*g, "_v"], "_c", "_end", num_partitions)
+    start = F.col("_end") - F.col("_c")
+    sizes = run.groupBy(*g).agg(F.min(start).alias("_r0"), F.sum("_c").alias("_n"))
+    if g:
+        # One row per group, broadcast behind a bounded count: a shuffle join
+        # on a few group keys would send a whole group to one task.
+        run = run.join(broadcast_if_small(materialize(sizes)), g)
+    else:
+        run = run.crossJoin(F.broadcast(sizes))
+    first, end = start - F.col("_r0"), F.col("_end") - F.col("_r0")  # positions first .. end - 1 hold this value
     parts, finals = [], []
     for i, (q, nm) in enumerate(zip(qs, names)):
         pos = (F.col("_n") - 1) * float(q)
-        parts += [F.max(F.when(F.col("_ri") == F.floor(pos), F.col("_v"))).alias(f"_lo{i}"),
-                  F.max(F.when(F.col("_ri") == F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"),
+        holds = lambda at: F.max(F.when((first <= at) & (at < end), F.col("_v")))
+        parts += [holds(F.floor(pos)).alias(f"_lo{i}"), holds(F.ceil(pos)).alias(f"_hi{i}"),
                   F.max(pos - F.floor(pos)).alias(f"_fr{i}")]
         lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
         finals.append((lo + (hi - lo) * fr).alias(nm))
-    return ix.agg(*parts).select(*finals)
+    return run.groupBy(*g).agg(*parts).select(*g, *finals)
 
 
 def exact_quantiles_grouped(df: DataFrame, value_col: str, qs: Sequence[float],
                             group_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """Exact linear quantiles per group without holding a group in one
-    buffer: one distributed row index over (group, value); each group's
-    first index and size come from a one-row-per-group aggregate."""
-    g = list(group_cols)
-    names = [f"q_{round(q * 100, 6):g}".replace(".", "_") for q in qs]
-    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ix = row_index(vals, [*g, "_v"], "_ri", num_partitions=num_partitions)
-    # One row per group, broadcast behind a bounded count: a shuffle join
-    # on a few group keys would send a whole group to one task.
-    sizes = materialize(ix.groupBy(*g).agg(F.min("_ri").alias("_r0"), F.count(F.lit(1)).alias("_n")))
-    ix = ix.join(broadcast_if_small(sizes), g).withColumn("_ri", F.col("_ri") - F.col("_r0"))
-    parts, finals = [], []
-    for i, (q, nm) in enumerate(zip(qs, names)):
-        pos = (F.col("_n") - 1) * float(q)
-        parts += [F.max(F.when(F.col("_ri") == F.floor(pos), F.col("_v"))).alias(f"_lo{i}"),
-                  F.max(F.when(F.col("_ri") == F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"),
-                  F.max(pos - F.floor(pos)).alias(f"_fr{i}")]
-        lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
-        finals.append((lo + (hi - lo) * fr).alias(nm))
-    return ix.groupBy(*g).agg(*parts).select(*g, *finals)
+    """:func:`exact_quantiles` per group."""
+    return exact_quantiles(df, value_col, qs, group_cols, num_partitions)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str | Column], value_col: str,

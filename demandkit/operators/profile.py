@@ -85,22 +85,19 @@ def profile_nunique(df: DataFrame, approx_rsd: float | None = None) -> DataFrame
     return _stack(df.agg(*aggs), df.columns, "column_name", "n_unique")
 
 
+def _by_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value) rows of several columns, in one scan."""
+    return df.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])))
+
+
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Sorted distinct values of several columns as (column, value) rows."""
-    out = None
-    for c in cols:
-        one = df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")).distinct()
-        out = one if out is None else out.unionByName(one)
-    return out.orderBy("column_name", "value")
+    return _by_column(df, cols).distinct().orderBy("column_name", "value")
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    out = None
-    for c in cols:
-        one = df.groupBy(F.col(c).cast("string").alias("value")).agg(
-            F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("column_name"), "value", "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return _by_column(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def column_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -20,7 +20,23 @@ from ..sources.tables import ROW_KEY, sales_view
 
 KEY_COLS = list(ROW_KEY)
 
-_CACHE: dict[tuple[str, int, str], "Tables"] = {}
+_CACHE: dict[tuple, "Tables"] = {}
+
+
+def input_files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and modification time of the star schema's files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in ("lineitem", "part", "supplier", "nation"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def reset() -> None:
@@ -37,7 +53,9 @@ class Tables:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+        """The shared frames of a folder as its files are now: new, changed
+        or removed files make new frames."""
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir, input_files(spark, sf_dir))
         if key not in _CACHE:
             _CACHE[key] = cls(spark, sf_dir)
         return _CACHE[key]
@@ -52,11 +70,15 @@ class Tables:
     def sales(self) -> DataFrame:
         return sales_view(self.spark, self.sf_dir)
 
+    def sales_of(self, *columns: str) -> DataFrame:
+        """The sales view with these columns and only the joins they need."""
+        return sales_view(self.spark, self.sf_dir, columns=columns)
+
     @cached_property
     def daily(self) -> DataFrame:
         """Daily series with lag/rolling columns, warm-up kept (checkpointed:
-        one row per date)."""
-        return materialize(feat.daily_features(self.sales))
+        one row per date); no dimension is joined for it."""
+        return materialize(feat.daily_features(self.sales_of("date", "qty")))
 
     @cached_property
     def eng(self) -> DataFrame:
@@ -111,7 +133,7 @@ class Tables:
         current day (its total contains the row's own target), persisted
         for the passes of encoding, scaling and fitting."""
         from pyspark import StorageLevel
-        daily = materialize(feat.daily_features(self.sales, exclude_current=True))
+        daily = materialize(feat.daily_features(self.sales_of("date", "qty"), exclude_current=True))
         eng = prep.time_split(prep.engineer(self.sales, daily, daily_checkpointed=True))
         return eng.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -145,8 +167,8 @@ class Tables:
         if name not in self._models:
             est = {"Linear Regression": lambda: models.linear(),
                    "Random Forest": lambda: models.forest(**models.FOREST_DEFAULTS),
-                   "XGBoost": lambda: models.boosted(**models.BOOSTED_DEFAULTS)}[name]()
+                   "Boosted Trees": lambda: models.boosted(**models.BOOSTED_DEFAULTS)}[name]()
             self._models[name] = models.fit(self.train, est)
         return self._models[name]
 
-    MODEL_NAMES = ("Linear Regression", "Random Forest", "XGBoost")
+    MODEL_NAMES = ("Linear Regression", "Random Forest", "Boosted Trees")

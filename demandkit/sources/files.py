@@ -4,12 +4,17 @@ prepared / insight / enriched outputs."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 # Raw CSV headers of the sales export and their column names.
 RAW_COLUMNS = {
     "Date": "date_str",
@@ -64,7 +69,8 @@ def resolve_source(primary: Callable[[], DataFrame], fallback: Callable[[], Data
         df = primary()
         df.schema  # noqa: B018  (forces analysis: missing table / bad credentials fail here)
         return df
-    except Exception:  # noqa: BLE001
+    except (PySparkException, Py4JJavaError, OSError) as e:  # the source's errors; a bug in the caller is raised
+        log.warning("primary source failed, reading the fallback: %s", str(e).splitlines()[0])
         return fallback()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,9 +54,20 @@ def _source(spark: SparkSession, sf_dir: str, database: str | None):
     return lambda name, *cols: read_table(spark, sf_dir, name, *cols)
 
 
-def sales_view(spark: SparkSession, sf_dir: str, database: str | None = None) -> DataFrame:
+# Columns that need a dimension; all others come from lineitem alone.
+PART_VALUES = {"product", "brand", "size", "unit_price", "stock", "profit"}
+DEALER_VALUES = {"dealer", "dealer_location"}
+
+
+def sales_view(spark: SparkSession, sf_dir: str, database: str | None = None,
+               columns: Sequence[str] | None = None) -> DataFrame:
     """One row per sale: lineitem joined to part, supplier and nation.
 
+    With ``columns`` only those are returned and only the dimensions they
+    need are joined: date totals read lineitem alone. This relies on the
+    foreign keys of the star schema (every sale has its part, supplier and
+    nation), which :func:`orphan_sales` counts.
+
     Raw-shaped columns (``date_str``, ``margin_pct``, ``tax_pct``, ``profit``)
     let the parsing and validation operators run on the same rows. Join
     strategy is left to Catalyst/AQE: part and supplier grow with the data
@@ -64,15 +77,18 @@ def sales_view(spark: SparkSession, sf_dir: str, database: str | None = None) ->
     :func:`write_bucketed_star`.
     """
     src = _source(spark, sf_dir, database)
-    li = src("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-             "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    part = src("part", "p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
-    supp = src("supplier", "s_suppkey", "s_name", "s_nationkey")
-    nation = src("nation", "n_nationkey", "n_name")
-    dealers = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
-
-    joined = (li.join(part, li.l_partkey == part.p_partkey)
-                .join(dealers, li.l_suppkey == dealers.s_suppkey))
+    wanted = set(SALES_TYPES if columns is None else columns)
+    joined = src("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+    if wanted & PART_VALUES:
+        part = src("part", "p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
+        joined = joined.join(part, joined.l_partkey == part.p_partkey)
+    if wanted & DEALER_VALUES:
+        supp = src("supplier", "s_suppkey", "s_name", "s_nationkey")
+        if "dealer_location" in wanted:
+            nation = src("nation", "n_nationkey", "n_name")
+            supp = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
+        joined = joined.join(supp, joined.l_suppkey == supp.s_suppkey)
     date = F.col("l_shipdate").cast("date")
     margin = F.round(F.col("l_discount") * 100).cast("int")
     unit_price = F.col("p_retailprice")
@@ -81,22 +97,28 @@ def sales_view(spark: SparkSession, sf_dir: str, database: str | None = None) ->
     # has something to find.
     profit = F.floor(unit_price * margin) / 100 + F.when(
         F.col("l_partkey") % 97 == 0, F.lit(5.0)).otherwise(F.lit(0.0))
-    return joined.select(
-        date.alias("date"),
-        F.col("p_type").alias("product"),
-        F.col("p_brand").alias("brand"),
-        F.col("s_name").alias("dealer"),
-        F.col("n_name").alias("dealer_location"),
-        F.col("p_size").alias("size"),
-        unit_price.alias("unit_price"),
-        F.col("l_quantity").alias("qty"),
-        (F.substring("p_brand", 7, 10).cast("int") * 40 + F.col("l_linenumber")).alias("stock"),
-        F.concat(margin.cast("string"), F.lit("%")).alias("margin_pct"),
-        F.concat(F.round(F.col("l_tax") * 100).cast("int").cast("string"), F.lit("%")).alias("tax_pct"),
-        F.date_format(date, "dd-MM-yyyy").alias("date_str"),
-        profit.alias("profit"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-    )
+    values = {
+        "date": date, "product": F.col("p_type"), "brand": F.col("p_brand"), "dealer": F.col("s_name"),
+        "dealer_location": F.col("n_name"), "size": F.col("p_size"), "unit_price": unit_price,
+        "qty": F.col("l_quantity"),
+        "stock": F.substring("p_brand", 7, 10).cast("int") * 40 + F.col("l_linenumber"),
+        "margin_pct": F.concat(margin.cast("string"), F.lit("%")),
+        "tax_pct": F.concat(F.round(F.col("l_tax") * 100).cast("int").cast("string"), F.lit("%")),
+        "date_str": F.date_format(date, "dd-MM-yyyy"), "profit": profit,
+    }
+    return joined.select(*[values.get(c, F.col(c)).alias(c) for c in SALES_TYPES if c in wanted])
+
+
+def orphan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without their part or supplier, and suppliers without their
+    nation: one row, all zero where the foreign keys hold."""
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey")
+    part, supp, nation = (read_table(spark, sf_dir, t) for t in ("part", "supplier", "nation"))
+    parts = li.join(part, li.l_partkey == part.p_partkey, "left_anti").agg(F.count(F.lit(1)).alias("no_part"))
+    dealers = li.join(supp, li.l_suppkey == supp.s_suppkey, "left_anti").agg(F.count(F.lit(1)).alias("no_supplier"))
+    places = supp.join(nation, supp.s_nationkey == nation.n_nationkey, "left_anti").agg(
+        F.count(F.lit(1)).alias("no_nation"))
+    return parts.crossJoin(dealers).crossJoin(places)  # one row each
 
 
 # DuckDB form of the same view, used as a CTE by the oracle queries.

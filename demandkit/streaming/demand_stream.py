@@ -2,16 +2,21 @@
 incremental nightly refresh, drift monitoring and the retrain gate.
 
 Streams read the Parquet folders as file sources (new files = new data) and
-run with ``trigger(availableNow=True)``: every available file is processed
-in bounded micro-batches, then the query stops, as a nightly job would.
-Sinks and streaming checkpoints live under the shared checkpoint folder so
-a restarted job resumes where it stopped.
+run with ``trigger(availableNow=True)``: the backlog is one micro-batch, then
+the query stops, as a nightly job would. A watermark moves between batches
+only, so rows of a backlog are never late to each other, however they are
+spread over files.
+
+The nightly jobs take a ``state_dir``: with the same one, a later call resumes
+the stream's checkpoint and reads new files only. Without one a job starts
+from nothing, in a fresh folder under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,22 +70,37 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
 
 
 def file_stream(spark: SparkSession, sf_dir: str, table: str, schema: T.StructType,
-                max_files: int = 1) -> DataFrame:
+                max_files: int | None = None) -> DataFrame:
     """Stream the Parquet files of ``table``: a folder of part files (the
     usual layout, new files = new data) or a single ``<table>.parquet``
-    file selected from its folder by name."""
+    file selected from its folder by name. ``max_files`` cuts the backlog
+    into batches of so many files; a watermark then drops rows that are
+    late between batches, so it is for files in time order only."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if _is_dir(spark, path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append", partition_by=()) -> DataFrame:
+class LateRows(RuntimeError):
+    """Rows came after their window had been emitted."""
+
+
+def dropped_rows(query) -> int:
+    """Rows that the watermark dropped in the batches of a finished query."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_available(df: DataFrame, name: str, mode: str = "append", partition_by=(), late_rows: str = "fail",
+                  state_dir: str | None = None) -> DataFrame:
     """Drain the stream into a Parquet table (availableNow) and return the
-    table as a batch DataFrame."""
+    table as a batch DataFrame. Rows that the watermark drops raise
+    :class:`LateRows` unless ``late_rows`` is "drop"."""
     spark = df.sparkSession
-    base = _run_dir(spark, name)
+    base = state_dir or _run_dir(spark, name)
     w = (df.writeStream.format("parquet").outputMode(mode)
          .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/out")
          .trigger(availableNow=True))
@@ -88,17 +108,75 @@ def run_available(df: DataFrame, name: str, mode: str = "append", partition_by=(
         w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
+    if late_rows != "drop" and (n := dropped_rows(q)):
+        raise LateRows(f"{name}: {n} rows (after aggregation) came after their window was emitted")
     return spark.read.parquet(f"{base}/out")
 
 
+# --- state that later runs resume ----------------------------------------------
+
+#: Epochs kept apart before they are folded into one snapshot.
+COMPACT_EPOCHS = 16
+
+
+class EpochState:
+    """Partial sums by key, one folder per micro-batch, written idempotently
+    (a batch that runs again overwrites its own folder). After
+    ``COMPACT_EPOCHS`` of them the sums so far become a snapshot; readers take
+    the newest complete snapshot and the epochs after it."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], sums: list[str]):
+        self.spark, self.path, self.keys, self.sums = spark, path.rstrip("/"), keys, sums
+
+    def add(self, batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/epochs/{epoch}")
+
+    def _numbers(self, kind: str) -> list[int]:
+        """Numbers of the folders that were written to the end."""
+        jvm = self.spark.sparkContext._jvm
+        top = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
+        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(top):
+            return []
+        found = [s.getPath() for s in fs.listStatus(top)]
+        return sorted(int(p.getName()) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+    def read(self) -> DataFrame | None:
+        """The sums by key, or None before any data came."""
+        upto = max(self._numbers("snapshots"), default=-1)
+        epochs = [n for n in self._numbers("epochs") if n > upto]
+        paths = [f"{self.path}/snapshots/{upto}"] * (upto >= 0) + [f"{self.path}/epochs/{n}" for n in epochs]
+        if not paths:
+            return None
+        parts = [self.spark.read.parquet(p).select(*self.keys, *self.sums) for p in paths]
+        return reduce(DataFrame.unionByName, parts).groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
+
+    def compact(self) -> None:
+        upto = max(self._numbers("snapshots"), default=-1)
+        epochs = [n for n in self._numbers("epochs") if n > upto]
+        if len(epochs) > COMPACT_EPOCHS:
+            self.read().write.mode("overwrite").parquet(f"{self.path}/snapshots/{epochs[-1]}")
+
+
+def _fold_new_files(stream: DataFrame, state: EpochState, partials, base: str):
+    """Fold the files that came since the last run into ``state``."""
+    q = (stream.writeStream.foreachBatch(lambda batch, epoch: state.add(partials(batch), epoch))
+         .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    state.compact()
+    return q
+
+
 # --- S1: closed daily demand --------------------------------------------------
 
-def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days") -> DataFrame:
+def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days", late_rows: str = "fail",
+                        max_files: int | None = None) -> DataFrame:
     """Sales stream -> tumbling 1-day totals, emitted once the watermark
-    (max ship time - ``late``) closes the day; later rows for a closed day
-    are dropped by the watermark."""
+    (max ship time - ``late``) closes the day. Rows for a day that an earlier
+    batch has closed raise :class:`LateRows`, or go with
+    ``late_rows="drop"``."""
     with utc_session(spark):
-        li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
+        li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA, max_files)
         ts = F.col("l_shipdate").cast("timestamp")
         daily = (li.select(ts.alias("ts"), F.col("l_quantity").alias("qty"))
                    .withWatermark("ts", late)
@@ -106,7 +184,7 @@ def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days")
                    .agg(F.sum("qty").alias("daily_total_demand"), F.count(F.lit(1)).alias("daily_rows")))
         out = daily.select(F.col("window.start").cast("date").alias("date"), "daily_total_demand",
                            "daily_rows")
-        return run_available(out, "daily_demand")
+        return run_available(out, "daily_demand", late_rows=late_rows)
 
 
 # --- S2: trailing 7-day demand -----------------------------------------------
@@ -140,29 +218,23 @@ def stream_rolling_sales(spark: SparkSession, sf_dir: str, late: str = "1 day")
 
 # --- S3: incremental nightly refresh ------------------------------------------
 
-def nightly_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each micro-batch of new sales is reduced to per-date partial totals
-    and merged into a daily state table (one row per date, so the state
-    is bounded by the calendar); after the run the demand features are
-    recomputed from the state table only, never from the raw history."""
-    base = _run_dir(spark, "nightly")
-    state = f"{base}/daily_state"
-    li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        part = (batch.select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("qty"))
-                     .groupBy("date").agg(F.sum("qty").alias("daily_total_demand"),
-                                          F.count(F.lit(1)).alias("daily_rows")))
-        # Partial totals are appended per epoch (idempotent per epoch id)
-        # and summed on read; no read-modify-write of the state table.
-        part.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
-
-    q = (li.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/_checkpoint")
-           .trigger(availableNow=True).start())
-    q.awaitTermination()
-    daily = (spark.read.parquet(state).groupBy("date")
-                  .agg(F.sum("daily_total_demand").alias("daily_total_demand"),
-                       F.sum("daily_rows").alias("daily_rows")))
+def nightly_scoring(spark: SparkSession, sf_dir: str, state_dir: str | None = None) -> DataFrame:
+    """Each night's new sales are reduced to per-date partial totals and added
+    to a daily state (bounded by the calendar); the demand features are
+    recomputed from the state only, never from the raw history. With the
+    same ``state_dir`` the next call reads new files only."""
+    base = (state_dir or _run_dir(spark, "nightly")).rstrip("/")
+    sums = ["daily_total_demand", "daily_rows"]
+    state = EpochState(spark, f"{base}/daily_state", ["date"], sums)
+
+    def partials(batch: DataFrame) -> DataFrame:
+        return (batch.select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("qty"))
+                .groupBy("date").agg(F.sum("qty").alias("daily_total_demand"), F.count(F.lit(1)).alias("daily_rows")))
+
+    _fold_new_files(file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA), state, partials, base)
+    daily = state.read()
+    if daily is None:
+        daily = spark.createDataFrame([], "date date, daily_total_demand double, daily_rows long")
     return feat.drop_warmup(feat.lag_rolling(daily)).select(*feat.DAILY_COLS)
 
 
@@ -222,12 +294,10 @@ def retrain_gate(metrics: DataFrame, current: str, candidate: str, split: str =
 PART_COLS = ["p_partkey", "p_type", "p_brand"]
 
 
-def _pair_partials(batch: DataFrame, part: DataFrame, dealers: DataFrame) -> DataFrame:
+def _pair_partials(batch: DataFrame, part: DataFrame) -> DataFrame:
     """Per (date, product, brand) partial sums of one micro-batch: counts,
-    quantity, squared quantity, price and stock. Joins of the stream to the
-    static dimensions keep the sales view's inner-join semantics."""
-    rows = (batch.join(part, batch.l_partkey == part.p_partkey)
-                 .join(dealers, batch.l_suppkey == dealers.s_suppkey))
+    quantity, squared quantity, price and stock."""
+    rows = batch.join(part, batch.l_partkey == part.p_partkey)
     stock = F.substring("p_brand", 7, 10).cast("int") * 40 + F.col("l_linenumber")
     return (rows.select(F.col("l_shipdate").cast("date").alias("date"),
                         F.col("p_type").alias("product"), F.col("p_brand").alias("brand"),
@@ -254,7 +324,8 @@ def insights_from_state(state: DataFrame, p: inv.InventoryPolicy = inv.DEFAULT_P
     latest = daily.agg(F.max("date").alias("_max_date"))
     mx = latest.first()[0]
     since = mx - dt.timedelta(days=p.recent_days)
-    recent = (state.where(F.col("date") >= F.lit(since)).join(F.broadcast(fe), "date")
+    recent = (state.where(F.col("date") >= F.lit(since)).join(
+        F.broadcast(fe.where(F.col("date") >= F.lit(since))), "date")  # a row per day of the window
                    .groupBy(*inv.PAIR).agg((F.sum(F.col("n") * F.col("pred")) / F.sum("n")).alias("pred_mean")))
     n, s, q = F.col("N"), F.col("S"), F.col("Q")
     d = F.col("date")
@@ -278,29 +349,25 @@ def insights_from_state(state: DataFrame, p: inv.InventoryPolicy = inv.DEFAULT_P
     return inv.recommendations(inv.inventory_optimization(pbf, p), health, p)
 
 
-def nightly_insights(spark: SparkSession, sf_dir: str, output: str | None = None) -> DataFrame:
-    """Nightly job: each micro-batch of new sales is folded into per-epoch
-    (date, product, brand) partial sums; recommendations are then rebuilt
-    from that state alone, so a night's work is the new files plus a state
-    bounded by dates x pairs, never a rescan of the history. With
-    ``output`` the refreshed table overwrites the previous one there."""
-    base = _run_dir(spark, "insights")
-    state_path = f"{base}/pair_state"
-    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").select(*PART_COLS, "p_retailprice")
-    supp = spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet").select("s_suppkey", "s_nationkey")
-    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey")
-    dealers = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey).select("s_suppkey")
-    li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
+_PAIR_SUMS = ["n", "s_qty", "s_qty2", "s_price", "s_stock"]
 
-    def fold(batch: DataFrame, epoch: int) -> None:
-        _pair_partials(batch, part, dealers).write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
 
-    q = (li.writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/_checkpoint")
-           .trigger(availableNow=True).start())
-    q.awaitTermination()
-    state = spark.read.parquet(state_path).groupBy("date", "product", "brand").agg(
-        *[F.sum(c).alias(c) for c in ("n", "s_qty", "s_qty2", "s_price", "s_stock")])
-    recs = insights_from_state(state)
+def nightly_insights(spark: SparkSession, sf_dir: str, output: str | None = None,
+                     state_dir: str | None = None) -> DataFrame:
+    """Nightly job: new sales are folded into (date, product, brand) partial
+    sums, and recommendations are rebuilt from that state alone, so a night's
+    work is the new files plus a state bounded by dates x pairs. With the same
+    ``state_dir`` the next call reads new files only. With ``output`` the
+    refreshed table overwrites the previous one there."""
+    base = (state_dir or _run_dir(spark, "insights")).rstrip("/")
+    state = EpochState(spark, f"{base}/pair_state", ["date", "product", "brand"], _PAIR_SUMS)
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").select(*PART_COLS, "p_retailprice")
+    _fold_new_files(file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA), state,
+                    lambda batch: _pair_partials(batch, part), base)
+    sums = state.read()
+    if sums is None:
+        raise ValueError(f"no sales under {sf_dir} and none in the state")
+    recs = insights_from_state(materialize(sums))
     if output:
         # The refreshed table replaces the previous night's output.
         recs.write.mode("overwrite").parquet(output)

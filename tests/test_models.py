@@ -35,7 +35,7 @@ def test_sample_params_seeded_and_distinct():
 def test_random_search_and_cv_small(spark):
     df = contiguous_folds(_planted(spark, 200), ["id"], 3)
     space = {"n_estimators": [5, 10], "max_depth": [2, 3], "min_samples_leaf": [1],
-             "min_samples_split": [2], "max_features": ["sqrt"]}
+             "max_features": ["sqrt"]}
     res = M.random_search(df, "forest", space, 2, features=FEATS, parallelism=2)
     assert len(res.avg_mae) == 2 and res.best_params in res.candidates
     cv = M.cross_validate(df, M.linear(), features=FEATS)

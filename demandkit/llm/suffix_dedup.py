@@ -43,11 +43,12 @@ from .common import arrow_schema, checkpointed, map_arrow, map_passes, passes, s
 
 LENGTH = 100
 GRAM = 24
-#: Bytes of text in one numpy pass; longer texts are read in pieces that overlap.
-PIECE_BYTES = 4 << 20
+#: Bytes of text in one numpy pass (whose arrays take some 120 times as much); longer
+#: texts are read in pieces that overlap.
+PIECE_BYTES = 1 << 20
 #: Segments of a map task that are compared with each other before the shuffle.
-LOCAL_SEGMENTS = 2_000_000
-SHARD_BYTES = 4 << 20
+LOCAL_SEGMENTS = 500_000
+SHARD_BYTES = 1 << 20
 HOT = 200_000
 #: Documents whose ids may be broadcast (16 bytes each).
 MOST_IDS = 1_000_000

@@ -50,6 +50,9 @@ SHINGLES_PER_UNIT = 2000
 #: Hubs of a block that meet those of other blocks first.
 HUBS = 4
 
+#: Bytes of text whose sets are made at once.
+PASS_BYTES = 4 << 20
+
 #: Vertices of rows without a doc_id lie above this number.
 NO_ID = 1 << 62
 
@@ -146,7 +149,7 @@ def signatures(docs: DataFrame, width: int, similarity: float) -> DataFrame:
                 "bands": [None if m is None else band_keys(m, rows).view(np.int64) for m in least],
                 "bits": [None if m is None else pack(m) for m in least]}
 
-    return write_table(map_passes(slim, _SIGNED, step), "minhash-signatures")
+    return write_table(map_passes(slim, _SIGNED, step, size=PASS_BYTES), "minhash-signatures")
 
 
 class Forest:
@@ -259,7 +262,7 @@ def _rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
 
-def _small_runs(batches, size: int = 8 << 20):
+def _small_runs(batches, size: int = PASS_BYTES):
     """Whole groups, several at a time while their texts are small."""
     names = ("block", "node", "known", "d1", "d2", "bits", "text")
     held: dict[str, list] = {k: [] for k in names}

@@ -38,8 +38,8 @@ FIT_ROWS = 10_000
 MODULUS, HELD = 3, 1
 THRESHOLD = 0.7
 
-#: Weight of the prior in pseudo-documents, standard errors taken off, cost of a plain token.
-PRIOR = 200.0
+#: Weight of the prior as a share of the fit documents, standard errors taken off, cost of a plain token.
+PRIOR = 0.05
 ERRORS = 2.0
 COST = 0.2
 PREFIX_BYTES = (6, 5, 4)
@@ -208,9 +208,10 @@ def lexicon(counts: DataFrame, n1: int, n0: int) -> dict[bytes, float]:
     merged = (counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean")],
                                           *[F.bit_or(c).alias(c) for c in ("toxic_seen", "clean_seen")])
               .select("token", _effective("toxic", "toxic_seen").alias("y"), _effective("clean", "clean_seen").alias("c")))
-    prior = (F.col("y") + F.col("c")) * (PRIOR / (n1 + n0)) + 0.05
+    mass = PRIOR * (n1 + n0)
+    prior = (F.col("y") + F.col("c")) * PRIOR + 0.05
     y, c = F.col("y") + prior, F.col("c") + prior
-    odds = F.log(y / (n1 + PRIOR - F.col("y"))) - F.log(c / (n0 + PRIOR - F.col("c")))
+    odds = F.log(y / (n1 + mass - F.col("y"))) - F.log(c / (n0 + mass - F.col("c")))
     least = odds - ERRORS * F.sqrt(1 / y + 1 / c)
     scored = merged.select("token", "c", least.alias("s")).where(f"s >= {LEAST_SCORE} OR c >= 5")
     toxic = {bytes(r["token"]): min(MOST_SCORE, r["s"]) for r in scored.where(f"s >= {LEAST_SCORE}").collect()}

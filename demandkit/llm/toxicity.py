@@ -45,7 +45,7 @@ COST = 0.2
 PREFIX_BYTES = (6, 5, 4)
 FOLDS = 3
 LEAST_SCORE, MOST_SCORE = 1.2, 8.0
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 200_000
 
 #: Bytes that part tokens besides white space (fixed values).
 PUNCTUATION = b""".,;:!?"()[]{}<>|*#$%&/\\=+~^`@_-'"""
@@ -106,12 +106,15 @@ class Model:
     decay: float  # lambda
     scale: float  # K
     weights: tuple[float, ...]  # calibration: constant, best, total
+    memory: _Known | None = None  # of a task
 
     def evidence(self, text: bytes) -> tuple[float, float, list[tuple[float, int, int]]]:
         """Best and summed evidence (-ln E over the significant segments),
         and these segments."""
         words = tokens(text)
-        known = _memory(self)
+        if self.memory is None:
+            self.memory = _Known(self.scores)
+        known = self.memory
         hits = first_hits(known, words)
         if not hits:
             return 0.0, 0.0, []
@@ -148,15 +151,6 @@ class _Known(dict):
         return s
 
 
-_LAST: list = [None, None]
-
-
-def _memory(model: Model) -> _Known:
-    if _LAST[0] is not model:
-        _LAST[:] = [model, _Known(model.scores)]
-    return _LAST[1]
-
-
 _COUNT = "fold int, token binary, toxic long, clean long, toxic_seen long, clean_seen long"
 
 

@@ -22,9 +22,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from .evaluate import r_squared, regression_metrics
-from .prepare import FEATURES, TARGET
+from .prepare import CATEGORICAL_COLS, FEATURES, SCALED_COLS, TARGET, label_encode, standard_scale
 
 FEATURE_VEC = "features"
 MAX_TREE_DEPTH = 30  # Spark's limit; an unbounded depth maps to it
@@ -191,28 +191,50 @@ def persist_training(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Keep the training frame in memory/disk for the many passes of a
     fit session; lost blocks are recomputed from (deterministic) lineage.
 
-    Tree learners aggregate split statistics per partition, so a frame that
-    AQE coalesced into fewer partitions than there are cores is spread out
-    first: hash-partitioned on ``keys`` (deterministic, so a recomputed
-    block holds the same rows and bagging draws the same samples)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *keys) if keys else df.repartition(cores)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def save_artifacts(model: PipelineModel, name: str, metrics: dict, spark,
-                   path: str | None = None, features: Sequence[str] = FEATURES) -> str:
-    """Persist the fitted pipeline and a small JSON metadata table next to
-    it in the shared checkpoint folder (or ``path``)."""
-    base = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{name}"
+    The rows are hash-partitioned on ``keys`` into the session's number of
+    shuffle partitions, at every size: a recomputed block holds the same rows
+    and bagging draws the same samples, whatever AQE made of the input."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartition(n, *keys) if keys else df.repartition(n)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+@dataclass
+class Artifacts:
+    """A saved model with all that raw engineered rows need before it: the
+    encoder maps, the scaler's numbers and the feature order."""
+
+    model: PipelineModel
+    encoders: DataFrame
+    scaler: DataFrame
+    meta: dict
+
+    def score(self, engineered: DataFrame) -> DataFrame:
+        """``engineered`` rows (not encoded, not scaled) with a prediction."""
+        rows = label_encode(engineered, CATEGORICAL_COLS, mappings=self.encoders, unseen=-1)
+        scaled = standard_scale(rows, params=self.scaler)
+        out = predict(self.model, scaled)
+        # The scaled columns were the model's; the rows keep their own values.
+        keys = [c for c in out.columns if c not in SCALED_COLS and not c.endswith("_encoded")]
+        back = {c: F.col(c) * F.col(f"{c}__std") + F.col(f"{c}__mean") for c in SCALED_COLS}
+        whole = out.crossJoin(F.broadcast(materialize(self.scaler)))  # one row
+        return whole.select(*keys, *[v.alias(c) for c, v in back.items()])
+
+
+def save_artifacts(path: str, model: PipelineModel, encoders: DataFrame, scaler: DataFrame, name: str,
+                   metrics: dict, features: Sequence[str] = FEATURES) -> str:
+    """Write model, encoder maps, scaler and metadata under ``path`` (a shared
+    folder), replacing what is there. ``load_artifacts`` of another
+    process scores raw engineered rows with them."""
+    spark, base = encoders.sparkSession, path.rstrip("/")
     model.write().overwrite().save(f"{base}/pipeline")
+    encoders.write.mode("overwrite").parquet(f"{base}/encoders")
+    scaler.write.mode("overwrite").parquet(f"{base}/scaler")
     meta = {"name": name, "feature_columns": list(features), "target": TARGET, "metrics": metrics}
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{base}/meta")
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").write.mode("overwrite").text(f"{base}/meta")
     return base
 
 
-def load_artifacts(spark, base: str):
-    model = PipelineModel.load(f"{base}/pipeline")
-    meta = json.loads(spark.read.text(f"{base}/meta").first()[0])
-    return model, meta
+def load_artifacts(spark, path: str) -> Artifacts:
+    base = path.rstrip("/")
+    return Artifacts(PipelineModel.load(f"{base}/pipeline"), spark.read.parquet(f"{base}/encoders"),
+                     spark.read.parquet(f"{base}/scaler"), json.loads(spark.read.text(f"{base}/meta").first()[0]))

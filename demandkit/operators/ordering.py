@@ -62,18 +62,46 @@ def row_index(df: DataFrame, keys: Sequence[str | Column], idx_col: str = "row_i
     return out.drop("_mid", "_pid", "_pos", "_off", "_total")
 
 
-def contiguous_folds(df: DataFrame, keys: Sequence[str | Column], k: int = 5,
-                     fold_col: str = "fold", num_partitions: int | None = None) -> DataFrame:
+def contiguous_folds(df: DataFrame, keys: Sequence[str], k: int = 5, fold_col: str = "fold",
+                     num_partitions: int | None = None) -> DataFrame:
     """Unshuffled k-fold: k contiguous blocks in key order, the first
     ``n % k`` blocks one row longer (same blocks as ``ntile(k)``). Folds are
-    numbered 1..k."""
-    ix = row_index(df, keys, "_ri", num_partitions=num_partitions, total_col="_n")
-    q = F.floor(F.col("_n") / k)
-    r = F.col("_n") % k
-    big = r * (q + 1)  # rows covered by the longer blocks
-    fold = F.when(F.col("_ri") < big, F.floor(F.col("_ri") / (q + 1))).otherwise(
-        r + F.floor((F.col("_ri") - big) / F.greatest(q, F.lit(1))))
-    return ix.withColumn(fold_col, (fold + 1).cast("int")).drop("_ri", "_n")
+    numbered 1..k.
+
+    The rows themselves are neither sorted nor copied. Counts by the leading
+    key place the first row of each fold in one value of it; only rows of
+    those (at most ``k - 1``) values are ordered by the whole key, and the
+    ``k - 1`` keys found label every row by comparison. Rows that tie on the
+    whole key share a fold."""
+    lead, keys = keys[0], list(keys)
+    counts = df.groupBy(lead).agg(F.count(F.lit(1)).alias("_c"))
+    run = materialize(running_sum(counts, [lead], "_c", "_end", num_partitions))
+    n = run.agg(F.max("_end")).first()[0] or 0
+    starts, at = [], 0
+    for f in range(k - 1):
+        at += n // k + (f < n % k)
+        if at < n:
+            starts.append(at)
+    if not starts:
+        return df.withColumn(fold_col, F.lit(1))
+    holds = [(F.col("_end") - F.col("_c") <= s) & (F.lit(s) < F.col("_end")) for s in starts]
+    hit = holds[0]
+    for h in holds[1:]:
+        hit = hit | h
+    # At most k - 1 values of the leading key, in order.
+    found = run.where(hit).orderBy(lead).collect()
+    edge = df.select(*keys).join(F.broadcast(run.where(hit).select(F.col(lead).alias("_lead"))),
+                                 F.col(lead).eqNullSafe(F.col("_lead")), "left_semi")
+    places, before = [], 0
+    for row in found:
+        places += [before + s - (row["_end"] - row["_c"]) for s in starts if row["_end"] - row["_c"] <= s < row["_end"]]
+        before += row["_c"]
+    first = row_index(edge, keys, "_ri", num_partitions=num_partitions).where(F.col("_ri").isin(places)).orderBy("_ri")
+    bounds = [F.struct(*[F.lit(r[c]).cast(df.schema[c].dataType).alias(c) for c in keys]) for r in first.collect()]
+    own, fold = F.struct(*keys), F.lit(1)
+    for bound in bounds:
+        fold = fold + (own >= bound).cast("int")
+    return df.withColumn(fold_col, fold)
 
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],

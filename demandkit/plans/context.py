@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators import inventory as inv
 from ..operators import prepare as prep
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.tables import ROW_KEY, sales_view
 
 KEY_COLS = list(ROW_KEY)
@@ -145,12 +145,34 @@ class Tables:
         so no test information leaks into the features; persisted for the
         repeated passes of model fitting."""
         from ..operators import models
-        eng = self.eng_model
-        train = eng.where(F.col("split") == "train")
-        maps = prep.encoder_mappings(train, prep.CATEGORICAL_COLS)
-        encoded = prep.label_encode(eng, prep.CATEGORICAL_COLS, mappings=maps, unseen=-1)
-        params = prep.scaler_params(encoded.where(F.col("split") == "train"))
-        return models.persist_training(prep.standard_scale(encoded, params=params), KEY_COLS)
+        encoded = prep.label_encode(self.eng_model, prep.CATEGORICAL_COLS, mappings=self.encoders, unseen=-1)
+        return models.persist_training(prep.standard_scale(encoded, params=self.scaler), KEY_COLS)
+
+    @cached_property
+    def encoders(self) -> DataFrame:
+        """Encoder maps of the training rows."""
+        train = self.eng_model.where(F.col("split") == "train")
+        return materialize(prep.encoder_mappings(train, prep.CATEGORICAL_COLS))
+
+    @cached_property
+    def scaler(self) -> DataFrame:
+        """The scaler's numbers (one row) over the training rows."""
+        return materialize(prep.scaler_params(self.eng_model.where(F.col("split") == "train")))
+
+    def artifacts(self, name: str, path: str | None = None):
+        """Model ``name`` saved with its encoders and scaler, and loaded back."""
+        from ..operators import models
+        base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/models/{name.replace(' ', '_').lower()}"
+        metrics = {r["split"]: r.asDict() for r in
+                   models.scored_metrics(self.model(name), self.prepared, name).collect()}  # a row per split
+        models.save_artifacts(base, self.model(name), self.encoders, self.scaler, name, metrics)
+        return models.load_artifacts(self.spark, base)
+
+    def scored_by(self, name: str) -> DataFrame:
+        """The recent window scored by the saved and reloaded model."""
+        since = inv.scan_bound(self.latest, inv.DEFAULT_POLICY.recent_days)
+        recent = inv.recent_window(self.eng_model, inv.DEFAULT_POLICY.recent_days, since=since)
+        return materialize(self.artifacts(name).score(recent))
 
     @cached_property
     def train(self) -> DataFrame:

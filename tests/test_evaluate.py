@@ -47,3 +47,24 @@ def test_describe_approx_option(spark):
     exact = profile_describe(df, ["x"]).first()
     approx = profile_describe(df, ["x"], approx_accuracy=10000).first()
     assert exact.p50 == 500.0 and abs(approx.p50 - 500.0) <= 1
+
+
+def test_constant_target_and_constant_column(spark):
+    rows = [("a", "test", 2.0, 2.0), ("a", "test", 2.0, 2.0), ("b", "test", 2.0, 1.0), ("b", "test", 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "model string, split string, actual double, prediction double")
+    r2 = {r.model: r.r2 for r in ev.regression_metrics(df).collect()}
+    assert r2 == {"a": 1.0, "b": 0.0}
+    h = ev.histogram(df, "actual", bins=4, density=True).orderBy("bin").collect()
+    counts, edges = np.histogram([2.0] * 4, bins=4)
+    assert [r["count"] for r in h] == list(counts)
+    assert np.allclose([r.lo for r in h] + [h[-1].hi], edges) and abs(sum(r.density * 0.25 for r in h) - 1) < 1e-9
+
+
+def test_nulls_and_ties(spark):
+    df = spark.createDataFrame([("m", "test", 1.0, 1.5), ("m", "test", None, 3.0), ("m", "test", 3.0, 2.5)],
+                               "model string, split string, actual double, prediction double")
+    assert abs(ev.regression_metrics(df).first().r2 - 0.75) < 1e-9
+    m = spark.createDataFrame([("b", "test", 0.7), ("a", "test", 0.7)], "model string, split string, r2 double")
+    assert ev.best_model(m).first().best_model == "a"
+    f = spark.createDataFrame([("x", "q", 0.1), ("x", "p", 0.1), ("x", "r", 0.2)], "model string, feature string, s double")
+    assert [r.feature for r in ev.rank_within(f, "model", "s", "feature").orderBy("rank").collect()] == ["r", "p", "q"]

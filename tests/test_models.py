@@ -1,3 +1,4 @@
+import pytest
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -47,3 +48,25 @@ def test_forest_is_deterministic(spark):
     imp1 = M.importances(M.fit(df, M.forest(n_estimators=5, max_depth=3), FEATS), FEATS)
     imp2 = M.importances(M.fit(df, M.forest(n_estimators=5, max_depth=3), FEATS), FEATS)
     assert imp1 == imp2 and abs(sum(v for _, v in imp1) - 1) < 1e-9
+
+
+def test_saved_artifacts_score_raw_rows_like_the_fitted_model(spark, small_dir, tmp_path):
+    from demandkit.plans.context import KEY_COLS, Tables
+    t = Tables(spark, small_dir)
+    name = "Linear Regression"
+    loaded = t.artifacts(name, str(tmp_path / "model"))
+    assert loaded.meta["name"] == name and loaded.meta["feature_columns"] == M.FEATURES
+    raw = t.eng_model.where(F.col("split") == "test")
+    got = {tuple(r[k] for k in KEY_COLS): r for r in loaded.score(raw).collect()}
+    want = M.predict(t.model(name), t.prepared.where(F.col("split") == "test")).select(*KEY_COLS, "prediction").collect()
+    assert len(got) == len(want) > 0
+    assert all(abs(got[tuple(r[k] for k in KEY_COLS)].prediction - r.prediction) < 1e-9 for r in want)
+    own = {tuple(r[k] for k in KEY_COLS): r.unit_price for r in raw.select(*KEY_COLS, "unit_price").collect()}
+    assert all(abs(r.unit_price - own[k]) < 1e-6 for k, r in got.items())
+    t.release()
+
+
+def test_feature_shares_keep_their_point():
+    assert M._subset(1.0) == "1.0" and M._subset(0.5) == "0.5" and M._subset("sqrt") == "sqrt"
+    with pytest.raises(TypeError):
+        M.forest(min_samples_split=5)

@@ -1,9 +1,10 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from demandkit.sources import files
-from demandkit.sources.tables import sales_view
+from demandkit.sources.tables import orphan_sales, sales_view
 
 
 def _raw_csv(spark, small_dir, path):
@@ -52,3 +53,28 @@ def test_malformed_csv_lines_are_kept_aside(spark, tmp_path):
     assert df.count() == 2
     bad = df.where(F.col(files.CORRUPT).isNotNull()).collect()
     assert len(bad) == 1 and bad[0]["product"] == "Flats" and bad[0]["size"] is None
+
+
+def test_insight_and_enriched_sinks_round_trip(spark, small_dir, tmp_path):
+    nation = spark.read.parquet(f"{small_dir}/nation.parquet").select("n_nationkey", "n_name")
+    files.write_insights({"a": nation, "b": nation.limit(3)}, str(tmp_path / "insights"))
+    assert spark.read.json(str(tmp_path / "insights" / "a")).count() == 25
+    assert spark.read.json(str(tmp_path / "insights" / "b")).count() == 3
+    files.overwrite_enriched(nation, str(tmp_path / "enriched"))
+    files.overwrite_enriched(nation.limit(5), str(tmp_path / "enriched"))
+    assert spark.read.parquet(str(tmp_path / "enriched")).count() == 5
+
+
+def test_bugs_in_the_primary_source_are_raised(spark):
+    with pytest.raises(ZeroDivisionError):
+        files.resolve_source(lambda: 1 / 0, lambda: spark.range(1))
+
+
+def test_pruned_views_equal_the_full_one(spark, small_dir):
+    full = sales_view(spark, small_dir)
+    for cols in (["date", "qty"], ["product", "qty"], ["dealer", "date"], ["dealer_location", "stock"]):
+        pruned = sales_view(spark, small_dir, columns=cols)
+        assert sorted(pruned.columns) == sorted(cols)
+        assert pruned.select(*cols).exceptAll(full.select(*cols)).isEmpty()
+        assert pruned.count() == full.count()
+    assert set(orphan_sales(spark, small_dir).first()) == {0}

@@ -68,3 +68,19 @@ def test_nulls_and_ties(spark):
     assert ev.best_model(m).first().best_model == "a"
     f = spark.createDataFrame([("x", "q", 0.1), ("x", "p", 0.1), ("x", "r", 0.2)], "model string, feature string, s double")
     assert [r.feature for r in ev.rank_within(f, "model", "s", "feature").orderBy("rank").collect()] == ["r", "p", "q"]
+
+
+def test_correlation_takes_pairs_that_have_both_values(spark):
+    import pandas as pd
+
+    from demandkit.plans.catalog import corr_long
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame(rng.normal(size=(200, 3)) + [0, 2000, 5], columns=list("abc"))
+    pdf.loc[::7, "a"] = np.nan
+    pdf.loc[::5, "c"] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.to_numpy()]
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in corr_long(
+        spark.createDataFrame(rows, "a double, b double, c double").repartition(4), list("abc")).collect()}
+    want = pdf.corr()
+    assert got.keys() == {("a", "b"), ("a", "c"), ("b", "c")}
+    assert all(abs(v - want.loc[k[0], k[1]]) < 1e-9 for k, v in got.items())

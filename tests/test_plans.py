@@ -1,4 +1,4 @@
-"""Plan-shape checks: pruned scans, pushed filters, no Cartesian products."""
+"""Plan-shape checks: pruned scans, joins and passes, pushed filters."""
 import re
 
 import pytest
@@ -8,29 +8,38 @@ import __spark_entry__ as entry
 
 def _plan(df):
     df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", ["demand_features", "recommendations", "select_features",
-                                  "regression_metrics", "stock_health", "correlation"])
-def test_no_cartesian_and_pruned_lineitem(spark, small_dir, name):
+def _scans(plan, table):
+    """Columns of every scan of a table."""
+    found = re.findall(rf"FileScan parquet [^\n]*?{table}\.parquet[^\n]*?ReadSchema: struct<([^>]*)>", plan)
+    return [{c.split(":")[0] for c in s.split(",")} for s in found]
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("daily_demand", {"l_shipdate", "l_quantity"}), ("month_counts", {"l_shipdate"}), ("clip", {"l_quantity"}),
+    ("calendar_features", {"l_shipdate"}), ("parse_percent", {"l_discount", "l_tax"})])
+def test_one_scan_of_the_needed_columns_and_no_dimension(spark, small_dir, name, columns):
+    plan = _plan(entry.queries()[name](spark, small_dir))
+    assert _scans(plan, "lineitem") == [columns]
+    assert not _scans(plan, "part") and not _scans(plan, "supplier")
+
+
+@pytest.mark.parametrize("name", ["standard_scale", "regression_metrics", "correlation", "value_counts", "stock_health"])
+def test_no_cartesian_and_at_most_one_fact_scan(spark, small_dir, name):
     plan = _plan(entry.queries()[name](spark, small_dir))
     assert "CartesianProduct" not in plan
-    for schema in re.findall(r"lineitem\.parquet.*?ReadSchema: struct<([^>]*)>", plan):
-        assert "l_returnflag" not in schema and "l_linestatus" not in schema
+    scans = _scans(plan, "lineitem")
+    assert len(scans) <= 1 and all(not s & {"l_returnflag", "l_linestatus"} for s in scans)
+
+
+def test_pairs_join_the_part_only(spark, small_dir):
+    plan = _plan(entry.queries()["pairs"](spark, small_dir))
+    assert len(_scans(plan, "lineitem")) == 1 and len(_scans(plan, "part")) == 1 and not _scans(plan, "supplier")
 
 
 def test_recent_window_bound_reaches_scan(spark, small_dir):
     plan = _plan(entry.queries()["recent_window"](spark, small_dir))
     pushed = re.findall(r"lineitem\.parquet.*?PushedFilters: \[([^\]]*)\]", plan)
     assert any("GreaterThanOrEqual(l_shipdate" in p for p in pushed)
-
-
-def test_flagship_reads_two_lineitem_value_columns(spark, small_dir):
-    plan = _plan(entry.entry(spark))
-    schemas = re.findall(r"lineitem\.parquet.*?ReadSchema: struct<([^>]*)>", plan)
-    # The daily series is checkpointed; whatever still scans lineitem reads
-    # only join keys, the ship date and the quantity.
-    for s in schemas:
-        cols = {c.split(":")[0] for c in s.split(",")}
-        assert cols <= {"l_partkey", "l_suppkey", "l_shipdate", "l_quantity"}

@@ -163,7 +163,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def dropped(docs: DataFrame, least_docs: int = LEAST_DOCS, similarity: float = SIMILARITY) -> DataFrame:
     """key, lines: the numbers of the lines to drop of each document that has any."""
-    gone = small(checkpointed(recurring_lines(docs, least_docs, similarity)), most_rows=400_000)  # 16 bytes each
+    gone = small(checkpointed(recurring_lines(docs, least_docs, similarity)), most_rows=400_000)  # some 100 bytes each
     lines = map_passes(_keyed(docs), "doc_id long, key long, line int, d1 long, d2 long", _line_digests)
     return lines.join(gone, ["d1", "d2"]).groupBy("key").agg(F.collect_set("line").alias("lines"))
 

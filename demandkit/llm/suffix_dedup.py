@@ -50,7 +50,7 @@ PIECE_BYTES = 1 << 20
 LOCAL_SEGMENTS = 500_000
 SHARD_BYTES = 1 << 20
 HOT = 200_000
-#: Documents whose ids may be broadcast (16 bytes each).
+#: Documents whose ids may be broadcast (some 80 bytes each in a hash table).
 MOST_IDS = 1_000_000
 
 COVERED, CONTESTED, CROWDED = 1, 2, 3

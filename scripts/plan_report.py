@@ -25,7 +25,9 @@ def shape(plan: str) -> dict:
         "sort_merge_joins": plan.count("SortMergeJoin"),
         "nested_loop_joins": plan.count("BroadcastNestedLoopJoin"),
         "cartesian": plan.count("CartesianProduct"),
-        "scans": re.findall(r"(\w+)\.parquet.*?PushedFilters: \[([^\]]*)\].*?ReadSchema: struct<([^>]*)>", plan),
+        # A scan is one line of the plan.
+        "scans": [m for line in plan.splitlines() if "FileScan parquet" in line for m in re.findall(
+            r"(\w+)\.parquet[^\]]*\].*?PushedFilters: \[(.*?)\], ReadSchema: struct<([^>]*)>", line)],
     }
 
 
@@ -43,7 +45,8 @@ def main() -> None:
         context.reset()
         df = qs[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()
-        s = shape(df._jdf.queryExecution().executedPlan().toString())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        s = shape(plan.split("== Initial Plan ==")[0])
         lines.append(f"| {name} | {s['exchanges']} | {s['broadcast_hash_joins']} | {s['sort_merge_joins']} | "
                      f"{s['nested_loop_joins']} | {s['cartesian']} |")
         for table, pushed, schema in s["scans"]:

@@ -74,6 +74,11 @@ class Tables:
         """The sales view with these columns and only the joins they need."""
         return sales_view(self.spark, self.sf_dir, columns=columns)
 
+    @cached_property
+    def pair_sales(self) -> DataFrame:
+        """What the product and product-brand tables need: no dealer is joined."""
+        return self.sales_of("date", "product", "brand", "qty", "unit_price", "stock")
+
     @cached_property
     def daily(self) -> DataFrame:
         """Daily series with lag/rolling columns, warm-up kept (checkpointed:
@@ -111,7 +116,7 @@ class Tables:
 
     @cached_property
     def pbf(self) -> DataFrame:
-        return inv.product_brand_forecast(self.sales, self.scored)
+        return inv.product_brand_forecast(self.pair_sales, self.scored)
 
     @cached_property
     def inv(self) -> DataFrame:
@@ -119,7 +124,7 @@ class Tables:
 
     @cached_property
     def health(self) -> DataFrame:
-        return inv.stock_health(self.sales, latest=self.latest)
+        return inv.stock_health(self.pair_sales, latest=self.latest)
 
     @cached_property
     def recs(self) -> DataFrame:

@@ -6,19 +6,22 @@ a digit or an at sign is a variable field from the start. A leaf holds
 templates; a line joins the most similar one if at least ``SIMILARITY`` of its
 tokens agree, and the positions that differ become variable fields. A
 template that occurs in ``LEAST_DOCS`` documents or more is boilerplate: its
-lines are dropped from every document.
+lines are dropped from every document. A document counts once for a template,
+however many of its lines belong to it.
 
-A leaf is a group of a Spark shuffle. Equal lines are counted inside each map
+A leaf is a group of a Spark shuffle. Equal lines are collected inside each map
 task first, so a line that a third of all documents repeat reaches its leaf
-as one row per task; document ids never travel to the leaves. What comes back
-is the digest of each line to drop, joined to the lines of the documents.
+as one row per task. It carries the keys of at most ``LEAST_DOCS`` documents:
+a line in that many decides for its template, and of one in fewer all
+documents are known, so the leaf counts different documents exactly. What
+comes back is the digest of each line to drop, joined to the lines of the
+documents.
 
 Templates depend on the order of lines, so a leaf takes its distinct lines
 in the order of their bytes: results don't depend on the partitioning.
 Defined cases: null text is empty; blank lines are never dropped and belong
-to no template; a line is counted once per document; documents equal in
-doc_id and text are one document with a row each; an empty table gives an
-empty result; other columns are ignored.
+to no template; each row counts as a document, those equal in doc_id and
+text too; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,7 +63,7 @@ def digest(content: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def templates(lines: list[tuple[bytes, int]], similarity: float = SIMILARITY) -> list[list[int]]:
+def templates(lines: list[tuple[bytes, list[int]]], similarity: float = SIMILARITY) -> list[list[int]]:
     """Lines (distinct contents with their documents, in order) of one leaf by
     template. Tokens are numbers in an array; each line is compared with all
     templates of the leaf at once."""
@@ -87,15 +90,33 @@ def templates(lines: list[tuple[bytes, int]], similarity: float = SIMILARITY) ->
     return members
 
 
-_COUNTED = "leaf long, content binary, docs long"
+_COUNTED = "leaf long, content binary, docs array<long>"
 _DROPPED = "d1 long, d2 long"
 
 
-def _count_pass(b: pa.RecordBatch) -> dict:
-    counts: Counter = Counter()
-    for text in b.column("text").to_pylist():
-        counts.update({b" ".join(p) for p in map(fields, text.split(b"\n")) if p})
-    return {"leaf": [leaf(c.split(b" ")) for c in counts], "content": list(counts), "docs": list(counts.values())}
+def _count_pass(least_docs: int):
+    def step(b: pa.RecordBatch) -> dict:
+        docs: dict[bytes, list[int]] = {}
+        for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for content in {b" ".join(p) for p in map(fields, text.split(b"\n")) if p}:
+                keys = docs.setdefault(content, [])
+                if len(keys) < least_docs:
+                    keys.append(key)
+        return {"leaf": [leaf(c.split(b" ")) for c in docs], "content": list(docs), "docs": list(docs.values())}
+
+    return step
+
+
+def recurs(lines: list[list[int]], least_docs: int) -> bool:
+    """Whether the documents that hold any of the lines are enough. Rows equal
+    in key hold the same lines: a key counts as often as in the line that has
+    it most."""
+    if max(map(len, lines)) >= least_docs:
+        return True
+    found: Counter = Counter()
+    for keys in lines:
+        found |= Counter(keys)
+    return found.total() >= least_docs
 
 
 def _leaves(least_docs: int, similarity: float):
@@ -105,10 +126,10 @@ def _leaves(least_docs: int, similarity: float):
         out: list[tuple[int, int]] = []
 
         def close(lines):
-            if sum(n for _, n in lines) < least_docs:
+            if sum(len(keys) for _, keys in lines) < least_docs:
                 return
             for group in templates(lines, similarity):
-                if sum(lines[i][1] for i in group) >= least_docs:
+                if recurs([lines[i][1] for i in group], least_docs):
                     out.extend(digest(lines[i][0]) for i in group)
 
         current, lines = None, []
@@ -120,10 +141,10 @@ def _leaves(least_docs: int, similarity: float):
                     if len(out) > 50_000:
                         yield _rows(out, schema)
                         out.clear()
-                if lines and lines[-1][0] == content:
-                    lines[-1] = (content, lines[-1][1] + docs)
-                else:
+                if not lines or lines[-1][0] != content:
                     lines.append((content, docs))
+                elif len(lines[-1][1]) < least_docs:
+                    lines[-1][1].extend(docs)
         close(lines)
         yield _rows(out, schema)
 
@@ -136,9 +157,9 @@ def _rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, similarity: float = SIMILARITY) -> DataFrame:
-    """d1, d2: digests of the generalised lines whose template recurs. A
-    document counts once for a line; a template's count adds up its lines'."""
-    counted = map_passes(docs.select(utf8().alias("text")), _COUNTED, _count_pass)
+    """d1, d2: digests of the generalised lines whose template recurs in
+    different documents."""
+    counted = map_passes(_keyed(docs).select("key", "text"), _COUNTED, _count_pass(least_docs))
     return map_arrow(counted.repartition("leaf").sortWithinPartitions("leaf", "content"),
                      _leaves(least_docs, similarity), _DROPPED)
 

@@ -59,3 +59,37 @@ def test_repeated_rows_null_ids_and_empty_table(make_docs):
     out = L.clean(make_docs(rows)).collect()
     assert len(out) == 4 and sorted(r.n_dropped for r in out) == [0, 1, 1, 1]
     assert L.clean(make_docs([])).collect() == []
+
+
+def by_documents(rows):
+    """Row numbers whose lines are dropped: templates as in :func:`brute`, each
+    with the set of rows that hold one of its lines."""
+    docs = collections.defaultdict(set)
+    for n, r in enumerate(rows):
+        for x in (r[1] or "").encode().split(b"\n"):
+            if x.split():
+                docs[b" ".join(L.fields(x))].add(n)
+    leaves, gone = collections.defaultdict(list), set()
+    for c in sorted(docs):
+        leaves[len(c.split(b" ")), tuple(c.split(b" ")[:L.LEADING])].append(c)
+    for lines in leaves.values():
+        for group in L.templates([(c, []) for c in lines]):
+            if len(set().union(*(docs[lines[i]] for i in group))) >= L.LEAST_DOCS:
+                gone.update(lines[i] for i in group)
+    out = []
+    for r in rows:
+        lines = (r[1] or "").encode().split(b"\n")
+        kept = [x for x in lines if not x.split() or b" ".join(L.fields(x)) not in gone]
+        out.append((r[0], len(lines), len(lines) - len(kept), hashlib.sha256(b"\n".join(kept)).hexdigest()))
+    return sorted(out)
+
+
+def test_a_template_counts_documents_not_lines(make_docs, fixture_rows):
+    one = (1, "mix the red paint\nmix the red glue\nmix the red sand\nmix the red dust")
+    two = (2, "boil an egg soft\nboil an egg hard")
+    three = [(2 + i, f"turn the page {w}") for i, w in enumerate(("over", "back", "now"), 1)]
+    rows = [one, two, (6, "boil an egg twice\nlast"), *three]
+    want = {1: 0, 2: 0, 6: 0, 3: 1, 4: 1, 5: 1}
+    assert {r.doc_id: r.n_dropped for r in L.clean(make_docs(rows)).collect()} == want
+    rows = [(i, t) for i, t, *_ in fixture_rows] + [(10**6 + i, t) for i, t in rows]
+    assert got(L.clean(make_docs(rows, parts=5))) == by_documents(rows)

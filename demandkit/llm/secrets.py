@@ -3,8 +3,9 @@
 Two layers over whole texts. The base layer has three fixed patterns
 (assignments to sensitive names, access-key ids, long hex runs). The lexing
 layer parses source and configuration syntax (``name = literal``, ``name:
-literal``, ``name := literal``, ``name => literal``, quoted or bare, literals
-joined by ``+``) into name-literal pairs, propagates constants through
+literal``, ``name := literal``, ``name => literal``, quoted (with escapes) or
+bare, literals joined by ``+``; ``name["key"]`` is a name of both parts) into
+name-literal pairs of any length, propagates constants through
 ``name = other_name``, and scores each literal by how sensitive the names are
 that it reaches and by its own shape. It only adds spans that no base span
 covers already.
@@ -45,12 +46,17 @@ SENSITIVE = {"password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3,
 PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example.*|your[_-].*|todo|none|null|true|false|\$\{.*|<.*|%\(.*)$")
 LEAST_SCORE = 4.0
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_.-]{0,79}"
-_QUOTED = r"\"[^\"\\\n]{0,400}\"|'[^'\\\n]{0,400}'"
+#: Names and literals have any length. The patterns are possessive, and a name
+#: starts where no name goes on, so a long text takes linear time.
+_NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+_QUOTED = r"\"[^\"\\\n]*+(?:\\.[^\"\\\n]*+)*+\"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
+_INDEX = rf"\[(?:(?:{_QUOTED}|[^\[\]\n\"'])*+|[^\]\n]{{0,40}})\]"
 _PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?P<name>{_NAME})(?P=q)(?:\[[^\]\n]{{0,40}}\])?[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*"
-    rf"(?P<value>(?:{_QUOTED})(?:[\x20\t]*\+[\x20\t]*(?:{_QUOTED}|{_NAME}))*|[A-Za-z0-9_$+/=.~!@%^&*-]{{1,400}})", re.A)
+    rf"(?P<q>[\"']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>{_NAME})(?P=q)(?P<index>(?:{_INDEX})*)"
+    rf"[\x20\t]*+(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*+"
+    rf"(?P<value>(?:{_QUOTED})(?:[\x20\t]*+\+[\x20\t]*+(?:{_QUOTED}|{_NAME}))*+|[A-Za-z0-9_$+/=.~!@%^&*-]++)", re.A)
 _ITEM = re.compile(rf"(?P<text>{_QUOTED})|(?P<ref>{_NAME})", re.A)
+_QUOTES = re.compile(_QUOTED, re.A)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _HEX_CLASS = bytes(1 if chr(b) in "0123456789abcdef" else 0 for b in range(256))
 
@@ -95,7 +101,7 @@ def literals(text: str) -> list[Literal]:
     constants: dict[str, list[Literal]] = {}
     for m in _PAIR.finditer(text):
         name, at = m["name"], m.start("value")
-        own = name_score(name)
+        own = name_score(" ".join([name, *_QUOTES.findall(m["index"])]))
         reached: list[Literal] = []
         value = m["value"]
         if value[0] in "\"'":

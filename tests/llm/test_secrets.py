@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from demandkit.llm import secrets as S
 
@@ -58,3 +59,32 @@ def test_redact_keeps_rows_and_columns(make_docs):
     docs = make_docs([(1, "a token=abcdefghijkl b"), (2, None), (3, "clean")], extra=True)
     out = {r.doc_id: r for r in S.redact(docs).collect()}
     assert out[1].text == "a [secret] b" and out[2].text is None and out[3].text == "clean" and out[1].key == "x-key"
+
+
+def lexed(text):
+    return [text[s:e] for s, _, e in S.lexed_spans(text)]
+
+
+def test_literals_of_any_length_and_escapes():
+    long = "aB3dEf9h" * 250
+    for text in (f'private_key = "{long}"', f"private_key: {long}\n", f"private_key = '{long}'", f'"auth_pwd": "{long}", "x": 1'):
+        assert lexed(text) == [long]
+    escaped = 'q8Zr-11kd\\nWw92xx\\"kd03\\\\' + long
+    assert lexed(f'signing_credential = "{escaped}"; other = "b"') == [escaped]
+    assert S._redacted(f'private_key = "{long}"', "[secret]") == 'private_key = "[secret]"'
+    assert lexed("a" * 100 + "_credential = 'q8Zr-11kd-Ww92xx'") == ["q8Zr-11kd-Ww92xx"]
+
+
+def test_quoted_subscripts_are_part_of_the_name():
+    assert lexed('os.environ["DB_PASSWORD"] = "q8Zr-11kd-Ww92xx"') == ["q8Zr-11kd-Ww92xx"]
+    assert lexed("cfg['db'][0]['auth_pwd']='q8Zr-11kd-Ww92xx'") == ["q8Zr-11kd-Ww92xx"]
+    assert lexed('os.environ["' + "X_" * 50 + 'PASSWORD"] = "q8Zr-11kd-Ww92xx"') == ["q8Zr-11kd-Ww92xx"]
+    assert lexed('labels["title"] = "q8Zr-11kd-Ww92xx"') == []
+
+
+def test_long_texts_take_linear_time():
+    units = ("x", "-", "0", "a=", 'a="', "a='", 'a="\\', "a[", 'a["', "a['\"", 'a="x"+"y"', " ", "a ", "a= ", '"', '"a', "a['a[\"")
+    for unit in units:
+        start = time.perf_counter()
+        S.lexed_spans(unit * (200_000 // len(unit)))
+        assert time.perf_counter() - start < 10, unit

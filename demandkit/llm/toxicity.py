@@ -86,15 +86,9 @@ def segments(hits: list[tuple[int, float]], cost: float) -> list[tuple[float, in
     return [(b - a, int(f), int(e)) for a, b, f, e in found]
 
 
-def first_hits(known: dict[bytes, float], words: list[bytes]) -> list[tuple[int, float]]:
-    """Scoring positions; a token that returns adds no evidence."""
-    seen: set[bytes] = set()
-    out = []
-    for i, s in enumerate(map(known.__getitem__, words)):
-        if s and words[i] not in seen:
-            seen.add(words[i])
-            out.append((i, s))
-    return out
+def scoring(known: dict[bytes, float], words: list[bytes]) -> list[tuple[int, float]]:
+    """All scoring positions; a token scores wherever it occurs."""
+    return [(i, s) for i, s in enumerate(map(known.__getitem__, words)) if s]
 
 
 @dataclass
@@ -115,7 +109,7 @@ class Model:
         if self.memory is None:
             self.memory = _Known(self.scores)
         known = self.memory
-        hits = first_hits(known, words)
+        hits = scoring(known, words)
         if not hits:
             return 0.0, 0.0, []
         size = math.log(max(len(words), 1)) + math.log(self.scale)
@@ -251,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model | Non
     def hits(b: pa.RecordBatch) -> dict:
         known = [_Known(p) for p in parts]
         words = [tokens(t) for t in b.column("text").to_pylist()]
-        found = [[s for _, s in first_hits(known[f], w)]
+        found = [[s for _, s in scoring(known[f], w)]
                  for w, f in zip(words, b.column("fold").to_pylist(), strict=True)]
         return {"n": [len(w) for w in words], "total": [sum(x) for x in found], "hits": [len(x) for x in found]}
 

@@ -129,6 +129,18 @@ def test_segments_are_the_maximal_ones():
         assert np.allclose(sorted(got), sorted(want))
 
 
+def test_passages_that_repeat_earlier_words():
+    model = T.Model({b.encode(): 3.0 for b in BAD}, 1.0, 0.01, (0.0, 1.0, 1.0))
+    plain, dense = ["ta"] * 60, list(BAD)
+    passages = lambda words: [(f, e) for _, f, e in model.evidence(" ".join(words).encode())[2]]
+    assert passages(plain + dense + plain + dense + plain) == [(60, 62), (123, 125)]
+    scattered = [w for b in BAD for w in [*plain, b]]
+    alone, later = (model.evidence(" ".join(w).encode()) for w in (scattered, scattered + plain + dense))
+    at = len(scattered) + 60
+    assert (at, at + 2) in [(f, e) for _, f, e in later[2]] and later[0] > alone[0]
+    assert passages(plain + ["grumwit"] * 3 + plain) == [(60, 62)]
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(2)
     x, per_doc, y = rng.normal(size=(9, 4)), np.array([2, 3, 1, 3]), np.array([0.0, 1, 1, 0])

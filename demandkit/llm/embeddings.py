@@ -158,20 +158,22 @@ def _compare(pairs: DataFrame, similarity: float, kind: str) -> DataFrame:
     def run(batches):
         for group in key_runs(batches, "pair"):
             cols = {c: group.column(c).to_pylist() for c in ("side", "node", "copies", "raw")}
-            yield _rows(_one_pair(cols, similarity, kind), schema)
+            _, i, j = group.column("pair")[0].as_py().split("/")
+            yield _rows(_one_pair(cols, similarity, kind, same=i == j), schema)
 
     return map_arrow(pairs.repartition("pair").sortWithinPartitions("pair", "side", "node"), run, _FOUND)
 
 
-def _one_pair(cols: dict[str, list], similarity: float, kind: str) -> list[tuple]:
+def _one_pair(cols: dict[str, list], similarity: float, kind: str, same: bool) -> list[tuple]:
+    """Link counts and forest links of a block with itself (``same``) or with
+    another one, which may hold no vector of this length."""
     cut = sum(s == 0 for s in cols["side"])
     node, copies = np.array(cols["node"], np.int64), np.array(cols["copies"], np.int64)
-    same = cut == len(node)
-    x = units(cols["raw"][:cut], kind) if cut else None
-    y = x if same else units(cols["raw"][cut:], kind)
-    shift = 0 if same else cut
     count, parts = np.zeros(len(node), np.int64), Parts(len(node))
-    if cut and len(y):
+    shift = 0 if same else cut
+    if cut and shift < len(node):
+        x = units(cols["raw"][:cut], kind)
+        y = x if same else units(cols["raw"][cut:], kind)
         for r, c in linked_pairs(x, y, similarity, same):
             c = c + shift
             np.add.at(count, r, copies[c])

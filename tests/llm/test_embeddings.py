@@ -69,6 +69,12 @@ def test_vectors_that_cannot_link(spark):
     assert got(E.components(table(spark, rows))) == brute(rows)
 
 
+def test_rare_lengths_in_many_blocks(spark):
+    """Some blocks hold linked vectors of a rare length, others none."""
+    rows = groups(120) + [(1000 + i, [1.0, 1.0 + i / 100, 1.0][:2 + i % 2], 0, "n") for i in range(16)]
+    assert got(E.components(table(spark, rows), rows=12)) == brute(rows)
+
+
 def test_null_and_repeated_ids_and_empty_table(spark):
     out = E.components(table(spark, [(None, [1.0, 0.0], 0, "n"), (None, [1.0, 0.01], 0, "n"), (3, [0.0, 1.0], 0, "n"),
                                      (3, [0.0, 1.0], 0, "n")])).collect()

@@ -153,7 +153,8 @@ def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(),
              "float": pa.float32(), "string": pa.string(), "binary": pa.binary(),
              "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
-             "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32())}
+             "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32()),
+             "array<string>": pa.list_(pa.string())}
     fields = [x.split(" ", 1) for x in ddl.split(", ")]
     return pa.schema([pa.field(n, kinds[k]) for n, k in fields])
 

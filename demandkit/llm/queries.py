@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, suffix_dedup, toxicity
+from . import byte_bpe, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, suffix_dedup, token_alignment, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,9 +63,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json")[0], tokenizer("piece_bpe_32k.model")[0])
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_exact_dedup, op2_minhash, op3_quality_mil, op4_suffix_dedup, op5_line_templates, op6_toxic_segments, op7_source_mix, op8_embedding_tiles,
-    op9_byte_bpe, op10_secret_scan)}
+    op9_byte_bpe, op10_secret_scan, op12_token_alignment)}
 
 # A-Z alone go to lower case, as in the operator.
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")

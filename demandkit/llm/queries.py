@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, suffix_dedup, token_alignment, toxicity
+from . import byte_bpe, conversations, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, suffix_dedup, token_alignment, toxicity, url_filter
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,13 +63,27 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+#: The policy of the query (fixed values).
+URL_RULES = (url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
+             url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/"))
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json")[0], tokenizer("piece_bpe_32k.model")[0])
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_summary(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_exact_dedup, op2_minhash, op3_quality_mil, op4_suffix_dedup, op5_line_templates, op6_toxic_segments, op7_source_mix, op8_embedding_tiles,
-    op9_byte_bpe, op10_secret_scan, op12_token_alignment)}
+    op9_byte_bpe, op10_secret_scan, op11_url_filter, op12_token_alignment, op13_conversation_repair)}
 
 # A-Z alone go to lower case, as in the operator.
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")

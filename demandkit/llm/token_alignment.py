@@ -37,8 +37,8 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +53,8 @@ from .common import arrow_schema, map_arrow, passes, ship_code, write_table
 BLOCK_LINKS = 8_000_000
 #: Characters of a text aligned at once (a piece goes on to the next cut).
 PIECE = 1 << 18
-#: Remembered words of a task; when full, the memory starts anew.
-CACHE_WORDS, CACHE_CHARS = 300_000, 48
+#: Remembered words of a task and their ids; when full, the memory starts anew.
+CACHE_WORDS, CACHE_IDS = 500_000, 20_000_000
 
 #: The byte that B's models write for a space (fixed value).
 SPACE = "▁"
@@ -94,7 +94,13 @@ class Tokenizers:
         self.separable = (splits.get("type") == "ByteLevel" and splits.get("use_regex", True)
                           and not splits.get("add_prefix_space") and not spec.get("normalizer")
                           and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces))
-        self.memory: dict[str, tuple[bytes, bytes]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the memory: word -> number; ids of all words in a row, with where each begins."""
+        self.memory: dict[str, int] = {}
+        self.ids = [_Row(), _Row()]
+        self.good = np.zeros(1024, bool)
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """Runs of words that both tokenizers can take one by one."""
@@ -113,71 +119,134 @@ class Tokenizers:
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, bool]:
         """Ids of A and B of the words, each with a space before it, and
         whether both spell the text's bytes."""
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.clear()
+        if len(self.memory) > CACHE_WORDS or self.ids[0].n + self.ids[1].n > CACHE_IDS:
+            self.forget()
         known = self.memory
-        fresh = list(set(words).difference(known))
-        if fresh:
-            of_a = self.a.encode_batch_fast([" " + w for w in fresh], add_special_tokens=False)
+        numbers = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0).tolist()
+        if new:
+            fresh = list(dict.fromkeys([words[i] for i in new]))
+            of_a = [x.ids for x in self.a.encode_batch_fast([" " + w for w in fresh], add_special_tokens=False)]
             of_b = self.b.encode(fresh, num_threads=1)
-            for w, x, b in zip(fresh, of_a, of_b, strict=True):
-                known[w] = (array("i", x.ids).tobytes(), array("i", b).tobytes())
-        of_a, of_b = zip(*map(known.__getitem__, words), strict=True)
-        for w in fresh:
-            if len(w) > CACHE_CHARS:
-                del known[w]
-        a, b = np.frombuffer(b"".join(of_a), np.int32), np.frombuffer(b"".join(of_b), np.int32)
+            at = len(known)
+            known.update(zip(fresh, range(at, at + len(fresh))))
+            self.ids[0].extend(of_a)
+            self.ids[1].extend(of_b)
+            if len(known) > len(self.good):
+                self.good = np.concatenate([self.good, np.zeros(len(known), bool)])
+            spell_a, spell_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+            self.good[at:at + len(fresh)] = [
+                b"".join(map(spell_a, a)) == (" " + w).encode() == b"".join(map(spell_b, b))
+                for w, a, b in zip(fresh, of_a, of_b, strict=True)]
+            numbers[new] = [known[words[i]] for i in new]
+        a, b = (row.take(numbers) for row in self.ids)
+        if self.good[numbers].all():
+            return a, b, True
         raw = (" " + " ".join(words)).encode()
         return a, b, (b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
                       == b"".join(map(self.b_bytes.__getitem__, b.tolist())))
 
 
+class _Row:
+    """Lists of ids, one behind the other."""
+
+    def __init__(self):
+        self.values, self.start, self.n, self.lists = np.zeros(1024, np.int32), np.zeros(1024, np.int64), 0, 0
+
+    def extend(self, lists: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        more = int(sizes.sum())
+        if self.n + more > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros(max(len(self.values), more), np.int32)])
+        if self.lists + len(lists) >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros(max(len(self.start), len(lists) + 1), np.int64)])
+        self.values[self.n:self.n + more] = np.fromiter(chain.from_iterable(lists), np.int32, more)
+        self.start[self.lists + 1:self.lists + len(lists) + 1] = self.n + np.cumsum(sizes)
+        self.n += more
+        self.lists += len(lists)
+
+    def take(self, numbers: np.ndarray) -> np.ndarray:
+        """The lists with these numbers, joined."""
+        first = self.start[numbers]
+        sizes = self.start[numbers + 1] - first
+        end = np.cumsum(sizes)
+        return self.values[np.arange(end[-1]) + np.repeat(first - end + sizes, sizes)]
+
+
 def _numerals(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of 0 .. n - 1 as bytes with room for a mark, and their number."""
-    width = len(str(max(n - 1, 0))) + 1
-    text = np.frombuffer(b"".join(str(i).encode().ljust(width, b" ") for i in range(n)), np.uint8)
-    return text.reshape(n, width), np.array([len(str(i)) for i in range(n)], np.int64)
+    """Decimal digits of 0 .. n - 1, each in the low bytes of a 64-bit number, and the
+    position in bits of the byte after them."""
+    text = b"".join(str(i).encode().ljust(8, b"\0") for i in range(n))
+    return np.frombuffer(text, "<u8"), np.array([8 * len(str(i)) for i in range(n)], np.uint64)
 
 
-def diagonal_runs(a: list[int], b: list[int]) -> tuple[list, list, list, list]:
-    """Align two ascending arrays of ends whose last ones agree. Stretches of
-    one-to-one groups as (i, j, length); irregular groups as (first i, first j);
-    and their links as indexes of a and of b."""
-    stretches, odd, link_a, link_b = [], [], [], []
+def diagonal_runs(a: list[int], b: list[int]) -> tuple[list, list]:
+    """Align two ascending arrays of ends whose last ones agree: stretches of
+    one-to-one groups as (i, j, length), and where irregular groups begin, as (i, j)."""
+    stretches, odd = [], []
     i = j = 0
     n = len(a)
     while i < n:
-        start, k = i, 1
-        while i < n and a[i:i + k] == b[j:j + k]:  # probe ever longer blocks at this shift
-            step = min(k, n - i)
-            i += step
-            j += step
-            k *= 2
-        k //= 2
-        while k and i < n:  # the first difference lies in the last block
-            if a[i:i + k] == b[j:j + k]:
+        x, y = a[i], b[j]
+        if x == y:
+            start, k = i, 1
+            i += 1
+            j += 1
+            while i < n and a[i:i + k] == b[j:j + k]:  # probe ever longer blocks at this shift
                 i += k
                 j += k
+                k += k
+            if i > n:  # the last block was cut off at the end
+                j -= i - n
+                i = n
             k //= 2
-        if i > start:
+            while k and i < n:  # the first difference lies in the last block
+                if a[i:i + k] == b[j:j + k]:
+                    i += k
+                    j += k
+                k //= 2
+            if i > n:
+                j -= i - n
+                i = n
             stretches.append((start, j - (i - start), i - start))
-        if i < n:
-            odd.append((i, j))
+            if i == n:
+                break
             x, y = a[i], b[j]
-            while True:
-                link_a.append(i)
-                link_b.append(j)
-                if x < y:
-                    i += 1
-                    x = a[i]
-                elif y < x:
-                    j += 1
-                    y = b[j]
-                else:
-                    break
-            i += 1
-            j += 1
-    return stretches, odd, link_a, link_b
+        odd.append((i, j))
+        while x != y:
+            if x < y:
+                i += 1
+                x = a[i]
+            else:
+                j += 1
+                y = b[j]
+        i += 1
+        j += 1
+    return stretches, odd
+
+
+def overlaps(a: list[int], b: list[int], first_a: np.ndarray, first_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the tokens of A and B that overlap, group by group: where one side has a
+    single token it meets all of the other side; else both are walked."""
+    n_a, n_b = np.diff(first_a, append=len(a)), np.diff(first_b, append=len(b))
+    plain = np.minimum(n_a, n_b) == 1
+    size = np.maximum(n_a, n_b)[plain]
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    of_a = np.repeat(first_a[plain], size) + inside * np.repeat(n_a[plain] > 1, size)
+    of_b = np.repeat(first_b[plain], size) + inside * np.repeat(n_b[plain] > 1, size)
+    more_a, more_b = [], []
+    for g in np.flatnonzero(~plain).tolist():
+        i, j = int(first_a[g]), int(first_b[g])
+        while True:
+            more_a.append(i)
+            more_b.append(j)
+            if a[i] < b[j]:
+                i += 1
+            elif b[j] < a[i]:
+                j += 1
+            else:
+                break
+    return np.append(of_a, np.array(more_a, np.int64)), np.append(of_b, np.array(more_b, np.int64))
 
 
 class Aligned:
@@ -191,25 +260,22 @@ class Aligned:
         self.whole = True
 
     def add(self, tools: Tokenizers, a: np.ndarray, b: np.ndarray) -> None:
-        stretches, odd, link_a, link_b = diagonal_runs(
-            np.cumsum(tools.a_size[a]).tolist(), np.cumsum(tools.b_size[b]).tolist())
-        i, j, n = np.array(stretches, np.int64).reshape(-1, 3).T
+        ends_a, ends_b = np.cumsum(tools.a_size[a]).tolist(), np.cumsum(tools.b_size[b]).tolist()
+        stretches, odd = diagonal_runs(ends_a, ends_b)
+        i, j, n = _columns(stretches, 3)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        one_a, one_b = np.repeat(i, n) + inside, np.repeat(j, n) + inside
-        odd_a, odd_b = np.array(odd, np.int64).reshape(-1, 2).T
-        text = _groups_text(tools, a, b, np.sort(np.concatenate([one_a, odd_a])), np.sort(np.concatenate([one_b, odd_b])))
+        odd_a, odd_b = _columns(odd, 2)
+        first_a = np.sort(np.concatenate([np.repeat(i, n) + inside, odd_a]))
+        first_b = np.sort(np.concatenate([np.repeat(j, n) + inside, odd_b]))
         if self.n_groups:
             self.digest.update(b";")
-        self.digest.update(text)
-        size = len(tools.b_bytes)
-        pairs = np.concatenate([a[one_a].astype(np.int64) * size + b[one_b],
-                                a[link_a].astype(np.int64) * size + b[link_b]]) if link_a else \
-            a[one_a].astype(np.int64) * size + b[one_b]
-        self.pairs.append(pairs)
+        self.digest.update(_groups_text(tools, a, b, first_a, first_b))
+        of_a, of_b = overlaps(ends_a, ends_b, first_a, first_b)
+        self.pairs.append(a[of_a].astype(np.int64) * len(tools.b_bytes) + b[of_b])
         self.n_a += len(a)
         self.n_b += len(b)
-        self.n_groups += len(one_a) + len(odd_a)
-        self.n_links += len(pairs)
+        self.n_groups += len(first_a)
+        self.n_links += len(of_a)
 
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct id pairs and their links."""
@@ -218,19 +284,21 @@ class Aligned:
         return np.unique(np.concatenate(self.pairs), return_counts=True)
 
 
+def _columns(rows: list[tuple], width: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(rows), np.int64, len(rows) * width).reshape(-1, width).T
+
+
 def _groups_text(tools: Tokenizers, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray) -> bytes:
     """``a1,a2|b1;a3|b2,b3``: of each group the ids of A, then of B."""
     out_a, out_b = np.append(first_a[1:], len(a)), np.append(first_b[1:], len(b))  # ends of the groups
     at_a = np.arange(len(a)) + np.repeat(first_b, out_a - first_a)
     at_b = np.arange(len(b)) + np.repeat(out_a, out_b - first_b)
-    marks = np.full(len(a) + len(b), ord(","), np.uint8)
-    marks[at_a[out_a - 1]], marks[at_b[out_b - 1]] = ord("|"), ord(";")
-    width = max(tools.a_text[0].shape[1], tools.b_text[0].shape[1])
-    text, size = np.empty((len(marks), width), np.uint8), np.empty(len(marks), np.int64)
-    for at, ids, (numerals, digits) in ((at_a, a, tools.a_text), (at_b, b, tools.b_text)):
-        text[at, :numerals.shape[1]], size[at] = numerals[ids], digits[ids]
-    text[np.arange(len(marks)), size] = marks
-    return text[np.arange(width) <= size[:, None]].tobytes()[:-1]
+    text = np.empty(len(a) + len(b), "<u8")
+    mark = np.full(len(text), ord(","), np.uint64)
+    mark[at_a[out_a - 1]], mark[at_b[out_b - 1]] = ord("|"), ord(";")
+    for at, ids, (digits, after) in ((at_a, a, tools.a_text), (at_b, b, tools.b_text)):
+        text[at] = digits[ids] | mark[at] << after[ids]
+    return text.tobytes().translate(None, b"\0")[:-1]
 
 
 def align_text(tools: Tokenizers, text: str | None) -> Aligned | None:

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, key_runs, map_arrow, write_table
+from .common import arrow_schema, map_arrow, write_table
 
 #: White space of a text (fixed values), and what may end a sentence.
 SPACES, ENDINGS = "\x20\t\n\x0b\x0c\r", ".!?"
@@ -241,17 +241,29 @@ def _stretches(batches):
 
 def _whole(batches):
     """One row for the stretches of each conversation."""
-    for run in key_runs(batches, "conv"):
-        rows = run.to_pylist()
-        between = [(a["last"] + b["first"], a["last_turn"], b["first_turn"]) for a, b in zip(rows, rows[1:])]
-        total = lambda c: sum(r[c] for r in rows)
-        lows = [r["first_turn"] for r in rows if r["first_turn"] is not None]
-        highs = [r["last_turn"] for r in rows if r["last_turn"] is not None]
+    held: list[dict] = []
+
+    def conversation():
+        total = lambda c: sum(r[c] for r in held)
+        between = [(a["last"] + b["first"], a["last_turn"], b["first_turn"]) for a, b in zip(held, held[1:])]
+        lows = [r["first_turn"] for r in held if r["first_turn"] is not None]
+        highs = [r["last_turn"] for r in held if r["last_turn"] is not None]
         turns = total("turns") - sum(x is not None and x == y for _, x, y in between)
         illegal = total("n") - 1 - total("legal") - sum(_legal(pair) for pair, _, _ in between)
-        yield _batch([(rows[0]["conv"], rows[0]["conv_id"], "".join(r["signs"] for r in rows),
-                       highs[-1] - lows[0] + 1 - turns if lows else 0, total("blank"), total("duplicate"), total("truncated"),
-                       illegal)], _SIGNED)
+        return (held[0]["conv"], held[0]["conv_id"], "".join(r["signs"] for r in held),
+                highs[-1] - lows[0] + 1 - turns if lows else 0, total("blank"), total("duplicate"), total("truncated"), illegal)
+
+    for b in batches:
+        out = []
+        for row in b.to_pylist():
+            if held and row["conv"] != held[0]["conv"]:
+                out.append(conversation())
+                held = []
+            held.append(row)
+        if out:
+            yield _batch(out, _SIGNED)
+    if held:
+        yield _batch([conversation()], _SIGNED)
 
 
 def _audits(batches):

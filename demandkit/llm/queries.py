@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, conversations, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, suffix_dedup, token_alignment, toxicity, url_filter
+from . import byte_bpe, conversations, embeddings, exact_dedup, line_templates, minhash, mixing, quality, secrets, sql, suffix_dedup, token_alignment, toxicity, url_filter
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,4 +108,6 @@ ORACLES: dict[str, str] = {
         FROM embeddings e
         LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) l ON e.vec_id = l.u
         JOIN (SELECT n, min(r) AS r FROM reach GROUP BY n) c ON e.vec_id = c.n""",
+    "op11_url_filter": sql.url_filter(URL_RULES, url_filter.DAMPING, url_filter.STEPS, url_filter.BLOCK_SHARE),
+    "op13_conversation_repair": sql.conversation_repair(),
 }

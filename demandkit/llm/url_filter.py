@@ -37,7 +37,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, small
+from .common import checkpointed, small, write_table
 
 DAMPING = 0.85
 STEPS = 20
@@ -97,7 +97,7 @@ def propagate(seeds: DataFrame, along: DataFrame, steps: int = STEPS, damping: f
     """host, kind, share of the rank that came from seeds. ``seeds`` has
     kind, host, seed (0 to 1) for every host and kind; ``along`` is of :func:`arcs`."""
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("seeded"), F.lit(1.0 - damping).alias("whole"))
-    start = checkpointed(start)
+    start = write_table(start, "seeds")
     now = start
     for _ in range(0 if along.isEmpty() else steps):
         moved = along.join(now.withColumnRenamed("host", "from"), ["kind", "from"]).select(
@@ -115,10 +115,10 @@ def host_verdicts(pages: DataFrame, rules: Sequence[Rule], block_share: float =
     their links."""
     parts = with_parts(pages)
     rule = fitting(rules, F.col("host"), F.col("path"), lambda r: r.verdict)
-    own = checkpointed(parts.where("host <> ''").groupBy("host").agg(
+    own = write_table(parts.where("host <> ''").groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(rule == "allow").alias("allowed"),
-        F.count_if(rule == "block").alias("blocked")))
-    edges = checkpointed(host_edges(parts, own.select("host")))
+        F.count_if(rule == "block").alias("blocked")), "hosts")
+    edges = write_table(host_edges(parts, own.select("host")), "host-edges")
     linked = edges.select(F.col("dst").alias("host")).distinct().join(own.select("host"), "host", "left_anti")
     as_root = fitting(rules, F.col("host"), F.lit("/"), lambda r: r.verdict)
     others = linked.select("host", F.lit(1).cast("long").alias("n"), F.coalesce((as_root == "allow").cast("long"), F.lit(0)).alias("allowed"),

@@ -50,9 +50,9 @@ LEAST_SCORE = 4.0
 #: starts where no name goes on, so a long text takes linear time.
 _NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
 _QUOTED = r"\"[^\"\\\n]*+(?:\\.[^\"\\\n]*+)*+\"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
-_INDEX = rf"\[(?:(?:{_QUOTED}|[^\[\]\n\"'])*+|[^\]\n]{{0,40}})\]"
+_INDEX = rf"\[(?:{_QUOTED}|[^\[\]\n\"'])*+\]"
 _PAIR = re.compile(
-    rf"(?P<q>[\"']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>{_NAME})(?P=q)(?P<index>(?:{_INDEX})*)"
+    rf"(?P<q>[\"']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>{_NAME})(?P=q)(?P<index>(?:{_INDEX})*+)"
     rf"[\x20\t]*+(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*+"
     rf"(?P<value>(?:{_QUOTED})(?:[\x20\t]*+\+[\x20\t]*+(?:{_QUOTED}|{_NAME}))*+|[A-Za-z0-9_$+/=.~!@%^&*-]++)", re.A)
 _ITEM = re.compile(rf"(?P<text>{_QUOTED})|(?P<ref>{_NAME})", re.A)

@@ -83,8 +83,17 @@ def test_quoted_subscripts_are_part_of_the_name():
 
 
 def test_long_texts_take_linear_time():
-    units = ("x", "-", "0", "a=", 'a="', "a='", 'a="\\', "a[", 'a["', "a['\"", 'a="x"+"y"', " ", "a ", "a= ", '"', '"a', "a['a[\"")
+    units = ("x", "-", "0", "a=", 'a="', "a='", 'a="\\', "a[1]", "[1]", 'a["k"]', '["k"]', "a['k'][0]", "a[b]", "a[b[", "a[b]=",  "a[", 'a["', "a['\"", 'a="x"+"y"', " ", "a ", "a= ", '"', '"a', "a['a[\"")
     for unit in units:
         start = time.perf_counter()
         S.lexed_spans(unit * (200_000 // len(unit)))
         assert time.perf_counter() - start < 10, unit
+
+
+def test_closed_subscripts_by_the_thousand():
+    for marks in ("[1]" * 10_000, '["k0"]' * 10_000, "['a'][1]" * 10_000, "[ab c]" * 10_000):
+        for text in (f"see a{marks}", f"see a{marks}.", f"a{marks} password_x{marks}"):
+            start = time.perf_counter()
+            assert lexed(text) == []
+            assert time.perf_counter() - start < 1
+    assert lexed(f"cfg{'[1]' * 10_000}['auth_pwd'] = 'q8Zr-11kd-Ww92xx'") == ["q8Zr-11kd-Ww92xx"]

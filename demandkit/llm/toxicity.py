@@ -66,24 +66,28 @@ def segments(hits: list[tuple[int, float]], cost: float) -> list[tuple[float, in
     """All maximal scoring segments (score, first, last position) of a
     sequence whose scoring positions are ``hits`` and where each position
     between costs ``cost``; one pass over a list of candidates, each joined
-    to the nearest earlier one that starts lower and ends lower."""
-    found: list[list[float]] = []  # total before, total after, first, last
+    to the nearest earlier one that starts lower and ends lower. A candidate
+    keeps a link to the nearest earlier one that starts lower; one that starts lowest
+    of all settles those before it. So the pass takes linear time."""
+    done: list[tuple[float, float, int, int, int]] = []
+    open_: list[tuple[float, float, int, int, int]] = []  # total before, total after, first, last, link
     total, at = 0.0, -1
     for position, score in hits:
         if at >= 0:
             total -= cost * (position - at - 1)
         before, total, at = total, total + score, position
-        now = [before, total, position, position]
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][0] >= now[0]:
-                j -= 1
-            if j < 0 or found[j][1] >= now[1]:
-                found.append(now)
-                break
-            now = [found[j][0], now[1], found[j][2], now[3]]
-            del found[j:]
-    return [(b - a, int(f), int(e)) for a, b, f, e in found]
+        first, j = position, len(open_) - 1
+        while j >= 0 and open_[j][0] >= before:
+            j = open_[j][4]
+        while j >= 0 and open_[j][1] < total:
+            before, _, first, _, link = open_[j]
+            del open_[j:]
+            j = link
+        if j < 0:
+            done += open_
+            open_ = []
+        open_.append((before, total, first, position, j))
+    return [(b - a, f, e) for a, b, f, e, _ in done + open_]
 
 
 def scoring(known: dict[bytes, float], words: list[bytes]) -> list[tuple[int, float]]:

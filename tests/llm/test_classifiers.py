@@ -168,3 +168,19 @@ def test_small_documents_table(spark, small_dir):
     scored = Q.score(docs, Q.fit(docs, labels)).join(labels, "doc_id")
     right = scored.where("held_out").agg(F.avg((F.col("predicted") == F.col("quality")).cast("double"))).first()[0]
     assert right > 0.85
+
+
+def test_segment_scan_takes_linear_time():
+    """Isolated hits, and hits whose candidates pile up in rising and falling order."""
+    import time
+    n = 100_000
+    for hits in ([(50 * i, 2.0) for i in range(n)], [(i * (2 + i % 3), 1.0) for i in range(n)], [(9 * i, 1.0 + (i % 40)) for i in range(n)],
+                 [(i + 100 * (i // 7), 1.2) for i in range(n)], [(2 * i, 0.3) for i in range(n)]):
+        start = time.perf_counter()
+        found = T.segments(hits, 0.2)
+        assert time.perf_counter() - start < 2 and found
+    text = b" ".join([b"plain"] * 60 + [b"grumwit"]) + b" "
+    model = T.Model({b"grumwit": 3.0}, 0.5, T.COST, (0.0, 1.0, 0.0))
+    start = time.perf_counter()
+    model.evidence(text * 4000)
+    assert time.perf_counter() - start < 4

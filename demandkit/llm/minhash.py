@@ -47,6 +47,8 @@ ERRORS = 5.5
 #: Documents of a block (longer ones count more, see ``_weight``) and shingles that make one more.
 BLOCK = 4096
 SHINGLES_PER_UNIT = 2000
+#: Likely pairs of a block that are held at once.
+PAIRS = 200_000
 #: Hubs of a block that meet those of other blocks first.
 HUBS = 4
 
@@ -184,35 +186,43 @@ def link_group(sets: list[np.ndarray], bits: np.ndarray, known: list[int], perce
                functions: int) -> tuple[list[tuple[int, int]], list[int]]:
     """Links that connect the true components of a group, as pairs of
     positions, and how many links each member got. Members with the same
-    ``known`` number (not -1) are connected already. Likely pairs are
-    confirmed in order of their estimate and skipped once connected."""
+    ``known`` number (not -1) are connected already. Likely pairs of members that are
+    still apart are held up to ``PAIRS``, then confirmed in order of their estimate
+    and skipped once connected: memory grows with the members, not their pairs."""
     n = len(sets)
-    forest, degree, links = Forest(n), [0] * n, []
+    tree, degree, links = np.arange(n), [0] * n, []
     first: dict[int, int] = {}
     for i, k in enumerate(known):
         if k >= 0:
-            forest.join(first.setdefault(k, i), i)
+            tree[i] = first.setdefault(k, i)
+
+    def settle(pairs) -> None:
+        for i, j in pairs:
+            if tree[i] != tree[j] and _linked(sets[i], sets[j], percent):
+                tree[tree == max(tree[i], tree[j])] = min(tree[i], tree[j])
+                links.append((i, j))
+                degree[i] += 1
+                degree[j] += 1
+
     if n == 2:
-        pairs = [(0, 1)]
-    else:
-        least = lowest_estimate(percent / 100, functions)
-        found: list[tuple[np.ndarray, ...]] = []
-        sizes = np.array([len(s) for s in sets])
-        mark = np.array(known)
-        for i in range(n - 1):
-            near = estimate(bits[i], bits[i + 1:], functions)
-            fits = 100 * np.minimum(sizes[i], sizes[i + 1:]) >= percent * np.maximum(sizes[i], sizes[i + 1:])
-            j = np.flatnonzero((near >= least) & fits & ((mark[i] < 0) | (mark[i + 1:] != mark[i])))
-            found.append((near[j].astype(np.float32), np.full(len(j), i, np.int32), (j + i + 1).astype(np.int32)))
-        near, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(-near, kind="stable")
-        pairs = zip(a[order].tolist(), b[order].tolist(), strict=True)
-    for i, j in pairs:
-        if forest.root(i) != forest.root(j) and _linked(sets[i], sets[j], percent):
-            forest.join(i, j)
-            links.append((i, j))
-            degree[i] += 1
-            degree[j] += 1
+        settle([(0, 1)])
+        return links, degree
+    least = lowest_estimate(percent / 100, functions)
+    sizes = np.array([len(s) for s in sets])
+    held: list[tuple[np.ndarray, ...]] = []
+    for i in range(n - 1):
+        apart = i + 1 + np.flatnonzero((tree[i + 1:] != tree[i]) & (
+            100 * np.minimum(sizes[i], sizes[i + 1:]) >= percent * np.maximum(sizes[i], sizes[i + 1:])))
+        if len(apart):
+            near = estimate(bits[i], bits[apart], functions)
+            likely = near >= least
+            held.append((near[likely], np.full(np.count_nonzero(likely), i), apart[likely]))
+        if i == n - 2 or sum(len(h[0]) for h in held) > PAIRS:
+            if held:
+                near, one, other = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.argsort(-near, kind="stable")
+                settle(zip(one[order].tolist(), other[order].tolist(), strict=True))
+            held = []
     return links, degree
 
 
@@ -246,7 +256,7 @@ def _confirm(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 forest = Forest(len(at))  # rows are sorted: the first member of a tree is the smallest
                 for i, j in links:
                     forest.join(i, j)
-                out += [(node[i], node[j], 0, block, 0) for i, j in links]
+                out += [(node[i], node[j], 0, block, 0) for i, j in links if node[i] != node[j]]
                 out += [(x, x, node[forest.root(i)], block, d) for i, (x, d) in enumerate(zip(node, degree, strict=True))]
             if len(out) > 20_000:
                 yield _rows(out, schema)
@@ -301,6 +311,14 @@ def candidate_links(classes: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, width: int = 5, similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    named = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
+    return _placed(docs, width, similarity, block).select(
+        named("id").alias("doc_id"), "n_shingles", named("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"))
+
+
+def _placed(docs: DataFrame, width: int, similarity: float, block: int) -> DataFrame:
+    """id (vertex), n_shingles and component of every document."""
     percent = round(100 * similarity)
     signed = signatures(docs, width, similarity)
     key = ["n_shingles", "d1", "d2"]
@@ -342,12 +360,23 @@ def components(docs: DataFrame, width: int = 5, similarity: float = 0.8, block:
     vertex = classes.select(*key, "node").join(label, "node", "left").select(
         *key, F.coalesce("label", "node").alias("component"))
     same = [signed[c] == vertex[c] for c in key]
-    # A vertex on several rows with different sets belongs to one component: the smallest of its classes'.
     placed = signed.join(vertex, same, "left").select(
         "id", signed["n_shingles"], F.coalesce("component", "id").alias("component"))
-    named = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
-    return placed.select(named("id").alias("doc_id"), "n_shingles", named("component").alias("component_id"),
-                         (F.col("id") == F.col("component")).alias("kept"))
+    sets = F.struct(*key)
+    several = signed.groupBy("id").agg(F.min(sets).alias("a"), F.max(sets).alias("b")).where("a != b")
+    return placed if several.isEmpty() else _tied(write_table(placed, "minhash-placed"), inside)
+
+
+def _tied(placed: DataFrame, inside: DataFrame) -> DataFrame:
+    """Components that meet in a vertex of several texts become one: a vertex ties all the
+    components of its rows, and those that its texts got in their groups."""
+    names = placed.select("id", "component").unionByName(
+        inside.where("u = v").select(F.col("u").alias("id"), F.col("label").alias("component")))
+    least = names.groupBy("id").agg(F.min("component").alias("v"), F.max("component").alias("w")).where("v != w")
+    ties = names.join(least, "id").select(F.col("component").alias("u"), "v").where("u != v").distinct()
+    joined = connected_components(ties).withColumnRenamed("node", "component")
+    return placed.join(joined, "component", "left").select(
+        "id", "n_shingles", F.coalesce("label", "component").alias("component"))
 
 
 def _nameless(b: pa.RecordBatch, width: int) -> dict:
@@ -397,8 +426,26 @@ def _across(large: DataFrame, inside: DataFrame, links: DataFrame, confirm, bloc
 
 def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
     """The documents, all columns as they are, without those whose component
-    holds a smaller doc_id. Rows that repeat a kept doc_id stay."""
-    gone = checkpointed(components(docs, width, similarity, block).where("NOT kept AND doc_id IS NOT NULL")
-                        .select("doc_id").distinct())
-    [name] = free_names(docs, "gone_id")
-    return docs.join(gone.withColumnRenamed("doc_id", name), F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    holds a smaller doc_id. Rows that repeat a kept doc_id stay. Of rows without a
+    doc_id one of each set stays, and only in components without a doc_id."""
+    placed = write_table(_placed(docs, width, similarity, block), "minhash-components")
+    gone = placed.where("id != component").select("id").distinct()
+    name, vertex = free_names(docs, "gone_id", "vertex_id")
+    gone = gone.withColumnRenamed("id", name)
+    kept = docs.join(gone.where(F.col(name) < NO_ID), F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    if placed.where(F.col("id") >= NO_ID).isEmpty():
+        return kept
+
+    def run(batches):
+        for b in batches:
+            texts = [(t or "").encode() for t in b.column("text").to_pylist()]
+            sets = shingle_sets(texts, width) if texts else []
+            ids = [NO_ID + (_digest(s)[0] & (NO_ID // 2 - 1)) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], names=[*b.schema.names, vertex])
+
+    schema = docs.select("*", F.lit(None).cast("long").alias(vertex)).schema
+    nameless = map_arrow(docs.where("doc_id IS NULL"), run, schema)
+    shown = (nameless.where(F.col(vertex).isNotNull()).join(gone.where(F.col(name) >= NO_ID), F.col(vertex) == F.col(name), "left_anti")
+             .dropDuplicates([vertex]))
+    return kept.where("doc_id IS NOT NULL").unionByName(
+        shown.unionByName(nameless.where(F.col(vertex).isNull())).drop(vertex))

@@ -98,3 +98,54 @@ def test_estimate_is_near_the_true_similarity():
 def test_bands_miss_few_pairs_at_the_threshold():
     for similarity in (0.8, 0.85, 0.95):
         assert (1 - similarity ** M.rows_per_band(similarity)) ** M.BANDS <= M.MISS
+
+
+def tied(rows, width=3, percent=85):
+    """Brute force where rows of one doc_id are one vertex."""
+    out = brute([(k, t) for k, (_, t, *_) in enumerate(rows)], width, percent)
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for k, _, c, _ in out:
+        for a, b in ((("row", k), ("row", c)), (("row", k), ("id", rows[k][0]))):
+            up[root(a)] = root(b)
+    least = {}
+    for i, *_ in rows:
+        least[root(("id", i))] = min(least.get(root(("id", i)), i), i)
+    return sorted((rows[k][0], n, least[root(("id", rows[k][0]))], least[root(("id", rows[k][0]))] == rows[k][0]) for k, n, _, _ in out)
+
+
+@pytest.mark.parametrize("block", [4096, 5])
+def test_a_doc_id_on_rows_of_different_texts_ties_their_groups(make_docs, block):
+    groups = [[" ".join([f"g{g}w{x}" for x in range(80)] + [f"g{g}end{k}"]) for k in range(4)] for g in range(4)]
+    rows = [(5, groups[0][0]), (7, groups[0][1]), (5, groups[1][0]), (3, groups[1][1]), (7, groups[2][0]), (20, groups[2][1]),
+            (20, groups[2][2]), (30, groups[3][0]), (31, groups[3][1]), (31, "apart from all others here"), (9, None), (9, "alone again naturally so")]
+    assert got(M.components(make_docs(rows), 3, 0.85, block)) == tied(rows)
+    assert {r[2] for r in tied(rows)} == {3, 30, 9}
+
+
+def test_near_copies_without_an_id_leave_one(make_docs):
+    near, other = ([" ".join([f"g{g}w{x}" for x in range(80)] + [f"g{g}end{k}"]) for k in range(3)] for g in range(2))
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (None, near[2]), (None, other[0]), (4, other[1]), (None, None), (None, "")]
+    kept = M.deduplicate(make_docs(rows, extra=True), 3, 0.85).collect()
+    assert len(kept) == 4 and kept[0].key == "x-key"
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [4]
+    assert sum(r.text in near for r in kept) == 1 and sum(not r.text for r in kept) == 2
+
+
+def test_a_block_of_near_copies_takes_little_memory():
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 120).astype(np.uint64)
+    factors = M._multipliers(M.BANDS * M.rows_per_band(0.85))
+    sets = [np.unique(np.concatenate([base, rng.integers(0, 1 << 62, 4).astype(np.uint64)])) for _ in range(M.BLOCK)]
+    bits = np.array([np.frombuffer(M.pack(M.minima(s, factors)), np.uint8) for s in sets])
+    tracemalloc.start()
+    links, _ = M.link_group(sets, bits, [-1] * len(sets), 85, len(factors))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(links) == len(sets) - 1 and peak < 100 << 20

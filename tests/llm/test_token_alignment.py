@@ -128,3 +128,16 @@ def test_runs_cover_all_common_ends(x, y):
 def test_one_to_one_stretches_are_jumped(n):
     ends = list(range(1, n + 1))
     assert T.diagonal_runs(ends, ends) == ([(0, 0, n)], [])
+
+
+def test_rank_tokenizer_gives_the_ids_of_the_file(spark, fixture_rows):
+    """Words, entries side by side, and random letters: the ids are those of A's own library."""
+    assert TOOLS.ranked and TOOLS.separable
+    rng = np.random.default_rng(4)
+    words = sorted({w for _, text, *_ in fixture_rows for w in (text or "").split(" ") if w})
+    names = [e.decode("utf-8", "ignore") for e in TOOLS.a_bytes]
+    words += [names[x] + names[y] for x, y in rng.integers(0, len(names), (40_000, 2))]
+    words += ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz ABé'.,01"), int(n))) for n in rng.integers(1, 16, 20_000)]
+    words = [" " + w for w in words]
+    want = [x.ids for x in LIB_A.encode_batch_fast(words, add_special_tokens=False)]
+    assert [TOOLS.ranked.encode_ordinary(w) for w in words] == want

@@ -186,9 +186,11 @@ def link_group(sets: list[np.ndarray], bits: np.ndarray, known: list[int], perce
                functions: int) -> tuple[list[tuple[int, int]], list[int]]:
     """Links that connect the true components of a group, as pairs of
     positions, and how many links each member got. Members with the same
-    ``known`` number (not -1) are connected already. Likely pairs of members that are
-    still apart are held up to ``PAIRS``, then confirmed in order of their estimate
-    and skipped once connected: memory grows with the members, not their pairs."""
+    ``known`` number (not -1) are connected already. Pairs are tried from the likeliest
+    level of estimates down to the least that can be a link; at each, those of members
+    still apart are held up to ``PAIRS``, then confirmed in order and skipped once
+    connected: memory grows with the members, not their pairs, and what is connected
+    at a high level isn't compared at a lower one. No pair is confirmed twice."""
     n = len(sets)
     tree, degree, links = np.arange(n), [0] * n, []
     first: dict[int, int] = {}
@@ -207,22 +209,23 @@ def link_group(sets: list[np.ndarray], bits: np.ndarray, known: list[int], perce
     if n == 2:
         settle([(0, 1)])
         return links, degree
-    least = lowest_estimate(percent / 100, functions)
-    sizes = np.array([len(s) for s in sets])
-    held: list[tuple[np.ndarray, ...]] = []
-    for i in range(n - 1):
-        apart = i + 1 + np.flatnonzero((tree[i + 1:] != tree[i]) & (
-            100 * np.minimum(sizes[i], sizes[i + 1:]) >= percent * np.maximum(sizes[i], sizes[i + 1:])))
-        if len(apart):
-            near = estimate(bits[i], bits[apart], functions)
-            likely = near >= least
-            held.append((near[likely], np.full(np.count_nonzero(likely), i), apart[likely]))
-        if i == n - 2 or sum(len(h[0]) for h in held) > PAIRS:
-            if held:
+    least, sizes = lowest_estimate(percent / 100, functions), np.array([len(s) for s in sets])
+    above = np.inf
+    for level in (percent / 100 + 0.04, percent / 100, (percent / 100 + least) / 2, least):
+        held: list[tuple[np.ndarray, ...]] = []
+        for i in range(n - 1):
+            apart = i + 1 + np.flatnonzero((tree[i + 1:] != tree[i]) & (
+                100 * np.minimum(sizes[i], sizes[i + 1:]) >= percent * np.maximum(sizes[i], sizes[i + 1:])))
+            if len(apart):
+                near = estimate(bits[i], bits[apart], functions)
+                likely = (near >= level) & (near < above)
+                held.append((near[likely], np.full(np.count_nonzero(likely), i), apart[likely]))
+            if held and (i == n - 2 or sum(len(h[0]) for h in held) > PAIRS):
                 near, one, other = (np.concatenate(x) for x in zip(*held, strict=True))
                 order = np.argsort(-near, kind="stable")
                 settle(zip(one[order].tolist(), other[order].tolist(), strict=True))
-            held = []
+                held = []
+        above = level
     return links, degree
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import safe_denominator
 from .inventory import BASELINES, baseline_prediction
 from ..session import broadcast_if_small, materialize
-from .ordering import row_index
+from .ordering import row_numbers
 
 GROUP = ["model", "split"]
 
@@ -159,7 +159,7 @@ def sample_rows(df: DataFrame, keys: Sequence[str], n: int = 200, seed: int = 42
 
 
 def row_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return row_index(df, keys, "row_idx")
+    return row_numbers(df, keys, "row_idx")
 
 
 def rank_within(df: DataFrame, group: str, order_col: str, name_col: str, out: str = "rank") -> DataFrame:

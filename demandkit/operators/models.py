@@ -22,7 +22,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir
 from .evaluate import r_squared, regression_metrics
 from .prepare import CATEGORICAL_COLS, FEATURES, SCALED_COLS, TARGET, label_encode, standard_scale
 
@@ -92,6 +92,9 @@ def boosted(n_estimators=300, max_depth=6, learning_rate=0.1, subsample=0.8, col
 
 
 ESTIMATORS = {"linear": linear, "forest": forest, "boosted": boosted}
+#: Models by name: kind of estimator and settings.
+MODELS = {"Linear Regression": ("linear", {}), "Random Forest": ("forest", FOREST_DEFAULTS),
+          "Boosted Trees": ("boosted", BOOSTED_DEFAULTS)}
 
 
 def pipeline(estimator, features: Sequence[str] = FEATURES) -> Pipeline:
@@ -178,23 +181,35 @@ def cross_validate(train: DataFrame, estimator, fold_col: str = "fold",
     folds = [r[0] for r in train.select(fold_col).distinct().orderBy(fold_col).collect()]
     out = None
     for k in folds:  # k is bounded by the fold count, not by the data
-        m = fit(train.where(F.col(fold_col) != k), estimator, features)
-        p = predict(m, train.where(F.col(fold_col) == k)).select(
-            F.col(TARGET).cast("double").alias("actual"), "prediction")
-        one = p.agg(F.avg(F.abs(F.col("actual") - F.col("prediction"))).alias("mae"),
-                    r_squared().alias("r2")).withColumn("fold", F.lit(int(k)))
+        one = fold_metrics(train, estimator, k, fold_col, features)
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def persist_training(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def fold_metrics(train: DataFrame, estimator, k: int, fold_col: str = "fold",
+                 features: Sequence[str] = FEATURES) -> DataFrame:
+    """One row (mae, r2, fold): fitted without fold ``k`` and scored on it."""
+    m = fit(train.where(F.col(fold_col) != k), estimator, features)
+    p = predict(m, train.where(F.col(fold_col) == k)).select(
+        F.col(TARGET).cast("double").alias("actual"), "prediction")
+    return p.agg(F.avg(F.abs(F.col("actual") - F.col("prediction"))).alias("mae"),
+                 r_squared().alias("r2")).withColumn("fold", F.lit(int(k)))
+
+
+#: Training rows of a task. Every level of every tree is a job with a task a partition, so
+#: small frames take few of them.
+TRAINING_ROWS = 20_000
+
+
+def persist_training(df: DataFrame, keys: Sequence[str] = (), rows: int = TRAINING_ROWS) -> DataFrame:
     """Keep the training frame in memory/disk for the many passes of a
     fit session; lost blocks are recomputed from (deterministic) lineage.
 
-    The rows are hash-partitioned on ``keys`` into the session's number of
-    shuffle partitions, at every size: a recomputed block holds the same rows
+    The rows are hash-partitioned on ``keys`` into one partition for ``rows`` rows, at most the
+    session's number of shuffle partitions: a recomputed block holds the same rows
     and bagging draws the same samples, whatever AQE made of the input."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(most, -(-df.count() // rows)))
     return (df.repartition(n, *keys) if keys else df.repartition(n)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -210,14 +225,12 @@ class Artifacts:
 
     def score(self, engineered: DataFrame) -> DataFrame:
         """``engineered`` rows (not encoded, not scaled) with a prediction."""
-        rows = label_encode(engineered, CATEGORICAL_COLS, mappings=self.encoders, unseen=-1)
-        scaled = standard_scale(rows, params=self.scaler)
-        out = predict(self.model, scaled)
-        # The scaled columns were the model's; the rows keep their own values.
-        keys = [c for c in out.columns if c not in SCALED_COLS and not c.endswith("_encoded")]
-        back = {c: F.col(c) * F.col(f"{c}__std") + F.col(f"{c}__mean") for c in SCALED_COLS}
-        whole = out.crossJoin(F.broadcast(materialize(self.scaler)))  # one row
-        return whole.select(*keys, *[v.alias(c) for c, v in back.items()])
+        own = [c for c in engineered.columns if c in SCALED_COLS]
+        # The scaled columns are the model's; the rows' own values are kept aside.
+        aside = engineered.withColumns({f"{c}__own": F.col(c) for c in own})
+        rows = label_encode(aside, CATEGORICAL_COLS, mappings=self.encoders, unseen=-1)
+        out = predict(self.model, standard_scale(rows, params=self.scaler))
+        return out.select(*[F.col(f"{c}__own").alias(c) if c in own else F.col(c) for c in engineered.columns], "prediction")
 
 
 def save_artifacts(path: str, model: PipelineModel, encoders: DataFrame, scaler: DataFrame, name: str,

@@ -11,11 +11,12 @@ are built on it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import broadcast_if_small, materialize, written
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
@@ -62,6 +63,49 @@ def row_index(df: DataFrame, keys: Sequence[str | Column], idx_col: str = "row_i
     return out.drop("_mid", "_pid", "_pos", "_off", "_total")
 
 
+#: Rows of a range that :func:`row_numbers` aims at, sampled rows a range, and ranges at most.
+RANGE_ROWS, RANGE_SAMPLE, MOST_RANGES = 2_000_000, 40, 4096
+
+
+def range_bounds(df: DataFrame, keys: Sequence[str], ranges: int, seed: int = 7) -> list:
+    """Up to ``ranges - 1`` ascending keys that part the rows about evenly, from a sample
+    of ``RANGE_SAMPLE`` rows a range (those of the least hashes of their keys)."""
+    if ranges < 2:
+        return []
+    sample = df.select(*keys).orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(ranges * RANGE_SAMPLE)
+    rows = [tuple(r) for r in sample.sort(*keys).collect()]
+    picked = [rows[len(rows) * k // ranges] for k in range(1, ranges)] if rows else []
+    return [b for k, b in enumerate(picked) if b != rows[0] and b not in picked[:k]]
+
+
+def _range_of(own: Column, bounds: list[Column], low: int, high: int) -> Column:
+    """Number of bounds at or under ``own``, by halving."""
+    if low == high:
+        return F.lit(low)
+    mid = (low + high) // 2
+    return F.when(own >= bounds[mid], _range_of(own, bounds, mid + 1, high)).otherwise(_range_of(own, bounds, low, mid))
+
+
+def row_numbers(df: DataFrame, keys: Sequence[str], idx_col: str = "row_idx", ranges: int | None = None) -> DataFrame:
+    """:func:`row_index` without a copy of the rows: ranges of the composite key are
+    fixed by literal bounds. One pass counts the rows of each range; a second sends each
+    range to a task, which sorts and numbers it from the sum of the ranges before. Bounds
+    and sums are part of the plan, so a task that is run again after a lost executor
+    numbers alike. Rows equal in all keys are numbered in any order."""
+    keys = list(keys)
+    ranges = ranges or max(1, min(MOST_RANGES, -(-df.count() // RANGE_ROWS)))
+    bounds = [F.struct(*[F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(keys, b)])
+              for b in range_bounds(df, keys, ranges)]
+    tagged = df.withColumn("_range", _range_of(F.struct(*keys), bounds, 0, len(bounds)))
+    counted = {r["_range"]: r["count"] for r in tagged.groupBy("_range").count().collect()}  # a row a range
+    before, total = [], 0
+    for k in range(len(bounds) + 1):
+        before.append(F.lit(total).cast("long"))
+        total += counted.get(k, 0)
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    return tagged.withColumn(idx_col, F.array(*before)[F.col("_range")] + inside - 1).drop("_range")
+
+
 def contiguous_folds(df: DataFrame, keys: Sequence[str], k: int = 5, fold_col: str = "fold",
                      num_partitions: int | None = None) -> DataFrame:
     """Unshuffled k-fold: k contiguous blocks in key order, the first
@@ -104,45 +148,86 @@ def contiguous_folds(df: DataFrame, keys: Sequence[str], k: int = 5, fold_col: s
     return df.withColumn(fold_col, fold)
 
 
+#: Bins of one counting pass, and rows of an interval whose values are counted one by one.
+QUANTILE_BINS = 2048
+QUANTILE_ROWS = 100_000
+
+
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
-                    group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = (), bins: int = QUANTILE_BINS, rows: int = QUANTILE_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / numpy default,
     SQL ``quantile_cont``), one column ``q_<pct>`` per quantile, per group.
 
-    Rows are counted by (group, value) first, with partial counts before the
-    shuffle, so a value that many rows share is one row from there on, and
-    what is sorted and checkpointed are distinct values, never the rows. A
-    running sum of the counts gives the position of each value; every
-    quantile picks the values that hold its two positions."""
+    Selection by successive range counts. Every quantile lies at two positions
+    of the sorted values. A pass counts the rows of the interval that holds a position in
+    ``bins`` equal parts (partial counts, so a part is a row per task, however many
+    rows share a value) and goes on with the part that holds it, between its own least and
+    largest value. When no interval has over ``rows`` rows, or more than one value, a last
+    pass counts the values in them. Nothing is sorted or kept but the intervals,
+    a row per group and position. Values that aren't finite count as null does:
+    they are left out."""
     g = list(group_cols)
     names = [f"q_{round(q * 100, 6):g}".replace(".", "_") for q in qs]
-    counts = (df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    run = running_sum(counts, [*g, "_v"], "_c", "_end", num_partitions)
-    start = F.col("_end") - F.col("_c")
-    sizes = run.groupBy(*g).agg(F.min(start).alias("_r0"), F.sum("_c").alias("_n"))
-    if g:
-        # One row per group, broadcast behind a bounded count: a shuffle join
-        # on a few group keys would send a whole group to one task.
-        run = run.join(broadcast_if_small(materialize(sizes)), g)
-    else:
-        run = run.crossJoin(F.broadcast(sizes))
-    first, end = start - F.col("_r0"), F.col("_end") - F.col("_r0")  # positions first .. end - 1 hold this value
-    parts, finals = [], []
+    value = F.col(value_col).cast("double")
+    data = df.select(*g, value.alias("_v")).where(F.col("_v").isNotNull() & (F.abs("_v") < float("inf")))
+    whole = data.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = []
+    for i, q in enumerate(qs):
+        pos = (F.col("_n") - 1) * F.lit(float(q))
+        wanted += [F.struct(F.lit(2 * i).alias("_t"), F.floor(pos).alias("_at")),
+                   F.struct(F.lit(2 * i + 1).alias("_t"), F.ceil(pos).alias("_at"))]
+    # _at: the position within the interval; _rows: the rows in it.
+    state = written(whole.select(*g, "_lo", "_hi", F.col("_n").alias("_rows"), "_n", F.inline(F.array(*wanted))), "quantiles")
+    while not state.where((F.col("_lo") < F.col("_hi")) & (F.col("_rows") > rows)).isEmpty():
+        state = written(_narrowed(data, state, g, bins), "quantiles")
+    open_ = state.where("_lo < _hi")
+    key = [*g, "_lo", "_hi"]
+    counts = _inside(data, open_.select(*key).distinct(), g).groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ends = counts.withColumn("_end", F.sum("_c").over(Window.partitionBy(*key).orderBy("_v")))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key]
+    hit = open_.alias("s").join(ends.alias("c"), reduce(lambda x, y: x & y, same)).where(
+        "c._end - c._c <= s._at AND s._at < c._end").select(*[f"s.{c}" for c in g], "s._t", "s._n", "c._v")
+    found = hit.unionByName(state.where("_lo = _hi").select(*g, "_t", "_n", F.col("_lo").alias("_v")))
+    finals = []
     for i, (q, nm) in enumerate(zip(qs, names)):
-        pos = (F.col("_n") - 1) * float(q)
-        holds = lambda at: F.max(F.when((first <= at) & (at < end), F.col("_v")))
-        parts += [holds(F.floor(pos)).alias(f"_lo{i}"), holds(F.ceil(pos)).alias(f"_hi{i}"),
-                  F.max(pos - F.floor(pos)).alias(f"_fr{i}")]
-        lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
-        finals.append((lo + (hi - lo) * fr).alias(nm))
-    return run.groupBy(*g).agg(*parts).select(*g, *finals)
+        lo, hi = (F.max(F.when(F.col("_t") == 2 * i + k, F.col("_v"))) for k in (0, 1))
+        pos = (F.max("_n") - 1) * F.lit(float(q))
+        finals.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(nm))
+    return found.groupBy(*g).agg(*finals)
+
+
+def _inside(data: DataFrame, intervals: DataFrame, g: list[str]) -> DataFrame:
+    """Rows of ``data`` with each interval of their group that holds them: a few rows a
+    group, broadcast behind a count."""
+    side = intervals.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(g)], "_lo", "_hi")
+    own = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(g)], F.lit(True))
+    within = own & (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+    return data.join(broadcast_if_small(side), within).drop(*[f"_{i}" for i in range(len(g))])
+
+
+def _narrowed(data: DataFrame, state: DataFrame, g: list[str], bins: int) -> DataFrame:
+    """One counting pass: every position's interval becomes the part that holds it."""
+    key = [*g, "_lo", "_hi"]
+    # Halves first: the width of an interval may exceed the largest double.
+    share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+    part = F.least(F.floor(share * bins), F.lit(bins - 1))
+    # Many positions may share an interval; a row meets each interval once.
+    wide = state.where("_lo < _hi").select(*key).distinct()
+    parts = _inside(data, wide, g).groupBy(*key, part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+    ends = parts.withColumn("_end", F.sum("_c").over(Window.partitionBy(*key).orderBy("_part")))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key]
+    hit = state.alias("s").join(ends.alias("c"), reduce(lambda x, y: x & y, same)).where(
+        "c._end - c._c <= s._at AND s._at < c._end")
+    next_ = hit.select(*[f"s.{c}" for c in g], F.col("c._from").alias("_lo"), F.col("c._to").alias("_hi"), F.col("c._c").alias("_rows"),
+                       "s._n", "s._t", F.expr("s._at - (c._end - c._c)").alias("_at"))
+    return next_.unionByName(state.where("_lo = _hi").select(*next_.columns))
 
 
 def exact_quantiles_grouped(df: DataFrame, value_col: str, qs: Sequence[float],
-                            group_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+                            group_cols: Sequence[str]) -> DataFrame:
     """:func:`exact_quantiles` per group."""
-    return exact_quantiles(df, value_col, qs, group_cols, num_partitions)
+    return exact_quantiles(df, value_col, qs, group_cols)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str | Column], value_col: str,

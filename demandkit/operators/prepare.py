@@ -61,12 +61,29 @@ def encoder_mappings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     values = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
     ])).alias("_e")).select("_e.*").where(F.col("value").isNotNull()).distinct()
+    return _codes(values)
+
+
+def _codes(values: DataFrame) -> DataFrame:
     ix = row_index(values, ["column_name", "value"], "_i")
     first = ix.groupBy("column_name").agg(F.min("_i").alias("_i0"))  # one row per column
     return ix.join(F.broadcast(first), "column_name").select(
         "column_name", "value", (F.col("_i") - F.col("_i0")).alias("code"))
 
 
+def fit_preparation(df: DataFrame, cols: Sequence[str] = CATEGORICAL_COLS,
+                    scaled: Sequence[str] = SCALED_COLS) -> tuple[DataFrame, DataFrame]:
+    """Encoder maps (as :func:`encoder_mappings`) and the scaler's one row (as
+    :func:`scaler_params`) from a single pass: every row becomes one row per category column
+    and one with the numbers, which partial aggregates reduce to the distinct values."""
+    nothing = [F.lit(None).cast("double").alias(c) for c in scaled]
+    parts = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), *nothing) for c in cols]
+    numbers = F.struct(F.lit("").alias("column_name"), F.lit("").alias("value"), *[F.col(c).cast("double").alias(c) for c in scaled])
+    found = materialize(df.select(F.inline(F.array(*parts, numbers))).groupBy("column_name", "value").agg(*_scaler_columns(scaled)))
+    maps = _codes(found.where((F.col("column_name") != "") & F.col("value").isNotNull()).select("column_name", "value"))
+    return materialize(maps), materialize(found.where(F.col("column_name") == "").drop("column_name", "value"))
+
+
 def encoder_mapping(df: DataFrame, col: str) -> DataFrame:
     """Mapping of one column as (col, col_encoded)."""
     m = encoder_mappings(df, [col])
@@ -98,12 +115,16 @@ def inverse_encode(df: DataFrame, mapping: DataFrame, col: str) -> DataFrame:
 
 def scaler_params(df: DataFrame, cols: Sequence[str] = SCALED_COLS) -> DataFrame:
     """One row: mean and population std per column (std 0 becomes 1)."""
+    return df.agg(*_scaler_columns(cols))
+
+
+def _scaler_columns(cols: Sequence[str]) -> list:
     aggs = []
     for c in cols:
         sd = F.stddev_pop(c)
         aggs += [F.avg(c).alias(f"{c}__mean"),
                  F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias(f"{c}__std")]
-    return df.agg(*aggs)
+    return aggs
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str] = SCALED_COLS,

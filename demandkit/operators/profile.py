@@ -19,8 +19,9 @@ def _stack(row: DataFrame, names: Sequence[str], label: str, value: str) -> Data
     return row.unpivot([], list(names), label, value)
 
 
-def profile_shape(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
+def profile_shape(df: DataFrame, n_cols: int | None = None) -> DataFrame:
+    """Rows and columns; ``n_cols`` where ``df`` is a projection of the table."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(n_cols or len(df.columns)))
 
 
 def profile_types(df: DataFrame) -> DataFrame:
@@ -80,9 +81,10 @@ def profile_nunique(df: DataFrame, approx_rsd: float | None = None) -> DataFrame
     ``approx_rsd`` for very wide / very large tables)."""
     if approx_rsd:
         aggs = [F.approx_count_distinct(c, approx_rsd).alias(c) for c in df.columns]
-    else:
-        aggs = [F.count_distinct(c).alias(c) for c in df.columns]
-    return _stack(df.agg(*aggs), df.columns, "column_name", "n_unique")
+        return _stack(df.agg(*aggs), df.columns, "column_name", "n_unique")
+    # One shuffle of the distinct (column, value) pairs for all columns; values are
+    # reduced inside the tasks first. Nulls keep a row, so that a column of nulls counts 0.
+    return _by_column(df, df.columns).distinct().groupBy("column_name").agg(F.count("value").alias("n_unique"))
 
 
 def _by_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ same folder reuse them instead of recomputing from the fact table.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,16 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators import inventory as inv
 from ..operators import prepare as prep
-from ..session import ensure_checkpoint_dir, materialize
+from ..operators.model_store import ModelStore, address, code_digest
+from ..session import materialize
 from ..sources.tables import ROW_KEY, sales_view
 
 KEY_COLS = list(ROW_KEY)
+#: Columns of a sale that model features are made of, and the target.
+FEATURE_SOURCES = ["product", "brand", "dealer", "size", "unit_price", "stock", "qty"]
+
+METRIC_COLS = ["model", "split", "mae", "rmse", "r2", "mape", "n"]
+METRIC_SCHEMA = "model string, split string, mae double, rmse double, r2 double, mape double, n long"
 
 _CACHE: dict[tuple, "Tables"] = {}
 
@@ -61,7 +68,7 @@ class Tables:
         return _CACHE[key]
 
     def release(self) -> None:
-        for name in ("eng_persisted", "eng_model", "prepared"):
+        for name in ("eng_model", "prepared", "search_frame"):
             if name in self.__dict__:
                 self.__dict__.pop(name).unpersist()
         self.__dict__.pop("_models", None)
@@ -85,21 +92,23 @@ class Tables:
         one row per date); no dimension is joined for it."""
         return materialize(feat.daily_features(self.sales_of("date", "qty")))
 
-    @cached_property
-    def eng(self) -> DataFrame:
+    def eng_of(self, *columns: str, daily: DataFrame | None = None) -> DataFrame:
         """Engineered rows (calendar + daily features, warm-up dropped),
-        unscaled, with the train/test tag."""
-        return prep.time_split(prep.engineer(self.sales, self.daily, daily_checkpointed=True))
+        unscaled, with the train/test tag. Of the sale's own columns they have
+        the date and ``columns``, and only the dimensions these need are joined."""
+        sales = self.sales_of("date", *columns)
+        return prep.time_split(prep.engineer(sales, self.daily if daily is None else daily, daily_checkpointed=True))
 
     @cached_property
-    def eng_persisted(self) -> DataFrame:
-        """The engineered rows kept on executors (memory, spilling to disk)
-        for multi-pass consumers: encoder maps, scaler parameters and the
-        scaled output then reuse one evaluation of the fact-table joins
-        instead of re-shuffling the fact table per pass. Lost blocks are
-        recomputed from the (deterministic) lineage."""
-        from pyspark import StorageLevel
-        return self.eng.persist(StorageLevel.MEMORY_AND_DISK)
+    def eng_features(self) -> DataFrame:
+        """Engineered rows with all that the model features are made of."""
+        return self.eng_of(*KEY_COLS, *FEATURE_SOURCES)
+
+    @cached_property
+    def preparation(self) -> tuple[DataFrame, DataFrame]:
+        """Encoder maps and scaler numbers of all engineered rows, from one
+        pass over them; both are checkpointed (one row per category, one row)."""
+        return prep.fit_preparation(self.eng_features)
 
     @cached_property
     def latest(self) -> DataFrame:
@@ -111,7 +120,7 @@ class Tables:
         """Recent engineered rows scored by the rolling baseline."""
         pred = inv.baseline_prediction("rolling")
         since = inv.scan_bound(self.latest, inv.DEFAULT_POLICY.recent_days)
-        return inv.recent_window(self.eng, inv.DEFAULT_POLICY.recent_days,
+        return inv.recent_window(self.eng_of("product", "brand"), inv.DEFAULT_POLICY.recent_days,
                                  since=since).withColumn("prediction", pred)
 
     @cached_property
@@ -139,8 +148,7 @@ class Tables:
         for the passes of encoding, scaling and fitting."""
         from pyspark import StorageLevel
         daily = materialize(feat.daily_features(self.sales_of("date", "qty"), exclude_current=True))
-        eng = prep.time_split(prep.engineer(self.sales, daily, daily_checkpointed=True))
-        return eng.persist(StorageLevel.MEMORY_AND_DISK)
+        return self.eng_of(*KEY_COLS, *FEATURE_SOURCES, daily=daily).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def prepared(self) -> DataFrame:
@@ -165,19 +173,45 @@ class Tables:
         return materialize(prep.scaler_params(self.eng_model.where(F.col("split") == "train")))
 
     def artifacts(self, name: str, path: str | None = None):
-        """Model ``name`` saved with its encoders and scaler, and loaded back."""
+        """Model ``name`` saved with its encoders and scaler, and loaded back. Without a
+        path they go to the model's own address in the store, so that two runs never
+        overwrite each other."""
         from ..operators import models
-        base = path or f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/models/{name.replace(' ', '_').lower()}"
+        base = path or f"{self.store.root}/artifacts/{address(self.content(name))}-{uuid.uuid4().hex}"
         metrics = {r["split"]: r.asDict() for r in
-                   models.scored_metrics(self.model(name), self.prepared, name).collect()}  # a row per split
+                   self.metrics_of(name).collect()}  # a row per split
         models.save_artifacts(base, self.model(name), self.encoders, self.scaler, name, metrics)
         return models.load_artifacts(self.spark, base)
 
+    def saved(self, name: str):
+        """The artifacts of model ``name``, saved at most once per address."""
+        from ..operators import models
+        entry = f"saved/{address(self.content(name))}.json"
+        if self.store.read(entry) is None:
+            folder = f"artifacts/{address(self.content(name))}-{uuid.uuid4().hex}"
+            self.artifacts(name, f"{self.store.root}/{folder}")
+            self.store.create(entry, {"folder": folder, "model": name})
+        return models.load_artifacts(self.spark, f"{self.store.root}/{self.store.read(entry)['folder']}")
+
+    def metrics_of(self, name: str) -> DataFrame:
+        """Metrics of a fitted model by split; scored once and kept in the store."""
+        from ..operators import models
+        entry = f"metrics/{address(self.content(name))}.json"
+        if self.store.read(entry) is None:
+            rows = [r.asDict() for r in models.scored_metrics(self.model(name), self.prepared, name).collect()]  # a row per split
+            self.store.create(entry, {"rows": rows})
+        return self.spark.createDataFrame([tuple(r[c] for c in METRIC_COLS) for r in self.store.read(entry)["rows"]], METRIC_SCHEMA)
+
+    def best_fitted(self) -> str:
+        """Name of the fitted model with the highest test R^2 (of equal ones the first name)."""
+        rows = [(-r["r2"], r["model"]) for n in self.MODEL_NAMES for r in self.metrics_of(n).collect() if r["split"] == "test"]
+        return min(rows)[1]
+
     def scored_by(self, name: str) -> DataFrame:
         """The recent window scored by the saved and reloaded model."""
         since = inv.scan_bound(self.latest, inv.DEFAULT_POLICY.recent_days)
         recent = inv.recent_window(self.eng_model, inv.DEFAULT_POLICY.recent_days, since=since)
-        return materialize(self.artifacts(name).score(recent))
+        return materialize(self.saved(name).score(recent))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -187,15 +221,39 @@ class Tables:
     def _models(self) -> dict:
         return {}
 
+    @cached_property
+    def store(self) -> ModelStore:
+        return ModelStore(self.spark)
+
+    def content(self, name: str) -> dict:
+        """All that the model ``name`` is fitted from."""
+        from ..operators import models
+        kind, settings = models.MODELS[name]
+        return {"model": name, "kind": kind, "settings": settings, **self.training_content}
+
+    @cached_property
+    def training_content(self) -> dict:
+        return {"files": input_files(self.spark, self.sf_dir), "features": prep.FEATURES, "split": prep.SPLIT_DATE,
+                "code": code_digest(), "spark": self.spark.version}
+
     def model(self, name: str):
-        """One of the three reference models with its reference settings,
-        fitted on first use and shared by every later model query."""
+        """One of the three reference models with its reference settings: from the store,
+        or fitted on first use and published there for every later session."""
         from ..operators import models
         if name not in self._models:
-            est = {"Linear Regression": lambda: models.linear(),
-                   "Random Forest": lambda: models.forest(**models.FOREST_DEFAULTS),
-                   "Boosted Trees": lambda: models.boosted(**models.BOOSTED_DEFAULTS)}[name]()
-            self._models[name] = models.fit(self.train, est)
+            kind, settings = models.MODELS[name]
+            self._models[name] = self.store.fitted(
+                self.content(name), lambda: models.fit(self.train, models.ESTIMATORS[kind](**settings)))
         return self._models[name]
 
     MODEL_NAMES = ("Linear Regression", "Random Forest", "Boosted Trees")
+
+    @cached_property
+    def search_frame(self) -> DataFrame:
+        """The training rows reduced to the mean of every feature and of the target per date,
+        in five contiguous folds: a row per day, for the many fits of a search."""
+        from pyspark import StorageLevel
+
+        from ..operators import ordering
+        days = self.train.groupBy("date").agg(*[F.avg(c).alias(c) for c in [*prep.FEATURES, prep.TARGET]])
+        return ordering.contiguous_folds(days, ["date"], 5).coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)

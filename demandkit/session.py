@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared checkpoint folder and read back. As
+    :func:`materialize`, for tables that a loop makes anew from the one before: the
+    size that Spark estimates for a checkpoint is that of its whole past, multiplied join
+    by join, while that of a file is its own."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast-hint ``df`` only when its count proves it small.
 

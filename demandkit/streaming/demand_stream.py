@@ -14,6 +14,7 @@ from nothing, in a fresh folder under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 from functools import reduce
@@ -21,6 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import features as feat
 from ..operators import inventory as inv
@@ -94,6 +96,41 @@ def dropped_rows(query) -> int:
     return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
 
 
+class DroppedRows(StreamingQueryListener):
+    """Counts the rows that the watermark drops over all batches of one query; a query's own
+    record of its progress goes back a hundred batches only."""
+
+    def __init__(self):
+        self.seen, self.query, self.by_query, self.done = False, None, {}, threading.Event()
+        self.ended: set[str] = set()
+
+    def follow(self, query: str) -> None:
+        self.query = query
+        if query in self.ended:
+            self.done.set()
+
+    @property
+    def dropped(self) -> int:
+        return self.by_query.get(self.query, 0)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        n = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.by_query[query] = self.by_query.get(query, 0) + n
+
+    def onQueryTerminated(self, event) -> None:
+        self.seen = True
+        self.ended.add(str(event.id))
+        if self.query == str(event.id):
+            self.done.set()
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append", partition_by=(), late_rows: str = "fail",
                   state_dir: str | None = None) -> DataFrame:
     """Drain the stream into a Parquet table (availableNow) and return the
@@ -106,9 +143,16 @@ def run_available(df: DataFrame, name: str, mode: str = "append", partition_by=(
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    if late_rows != "drop" and (n := dropped_rows(q)):
+    counter = DroppedRows()
+    spark.streams.addListener(counter)
+    try:
+        q = w.start()
+        counter.follow(str(q.id))
+        q.awaitTermination()
+        counter.done.wait(10)
+    finally:
+        spark.streams.removeListener(counter)
+    if late_rows != "drop" and (n := counter.dropped if counter.seen else dropped_rows(q)):
         raise LateRows(f"{name}: {n} rows (after aggregation) came after their window was emitted")
     return spark.read.parquet(f"{base}/out")
 
@@ -120,42 +164,51 @@ COMPACT_EPOCHS = 16
 
 
 class EpochState:
-    """Partial sums by key, one folder per micro-batch, written idempotently
-    (a batch that runs again overwrites its own folder). After
+    """Partial sums (and largest values) by key, one folder per micro-batch, written
+    idempotently (a batch that runs again overwrites its own folder). After
     ``COMPACT_EPOCHS`` of them the sums so far become a snapshot; readers take
-    the newest complete snapshot and the epochs after it."""
+    the newest complete snapshot and the epochs after it. What an older snapshot holds too is
+    removed when the next one is complete, so a reader of the last state never loses its files."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], sums: list[str]):
-        self.spark, self.path, self.keys, self.sums = spark, path.rstrip("/"), keys, sums
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], sums: list[str], maxes: tuple[str, ...] = ()):
+        self.spark, self.path, self.keys, self.sums, self.maxes = spark, path.rstrip("/"), keys, sums, list(maxes)
 
     def add(self, batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/epochs/{epoch}")
 
+    def _folder(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _numbers(self, kind: str) -> list[int]:
         """Numbers of the folders that were written to the end."""
-        jvm = self.spark.sparkContext._jvm
-        top = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
-        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        top, fs = self._folder(kind)
         if not fs.exists(top):
             return []
+        done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         found = [s.getPath() for s in fs.listStatus(top)]
-        return sorted(int(p.getName()) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+        return sorted(int(p.getName()) for p in found if fs.exists(done(p, "_SUCCESS")))
 
-    def read(self) -> DataFrame | None:
-        """The sums by key, or None before any data came."""
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """The sums by key (of the epochs before ``before``), or None before any data came."""
         upto = max(self._numbers("snapshots"), default=-1)
-        epochs = [n for n in self._numbers("epochs") if n > upto]
+        epochs = [n for n in self._numbers("epochs") if n > upto and (before is None or n < before)]
         paths = [f"{self.path}/snapshots/{upto}"] * (upto >= 0) + [f"{self.path}/epochs/{n}" for n in epochs]
         if not paths:
             return None
-        parts = [self.spark.read.parquet(p).select(*self.keys, *self.sums) for p in paths]
-        return reduce(DataFrame.unionByName, parts).groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
+        columns = [*self.keys, *self.sums, *self.maxes]
+        rows = self.spark.read.parquet(*paths).select(*columns)
+        return rows.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums], *[F.max(c).alias(c) for c in self.maxes])
 
     def compact(self) -> None:
-        upto = max(self._numbers("snapshots"), default=-1)
-        epochs = [n for n in self._numbers("epochs") if n > upto]
+        before = max(self._numbers("snapshots"), default=-1)
+        epochs = [n for n in self._numbers("epochs") if n > before]
         if len(epochs) > COMPACT_EPOCHS:
             self.read().write.mode("overwrite").parquet(f"{self.path}/snapshots/{epochs[-1]}")
+            old = [("epochs", n) for n in self._numbers("epochs") if n <= before]
+            for kind, n in old + [("snapshots", n) for n in self._numbers("snapshots") if n < before]:
+                path, fs = self._folder(f"{kind}/{n}")
+                fs.delete(path, True)
 
 
 def _fold_new_files(stream: DataFrame, state: EpochState, partials, base: str):
@@ -167,14 +220,84 @@ def _fold_new_files(stream: DataFrame, state: EpochState, partials, base: str):
     return q
 
 
+# --- windows that are corrected by late rows ------------------------------------
+
+_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def _micros(interval: str) -> int:
+    number, unit = interval.split()
+    return int(number) * _MICROS[unit.rstrip("s")]
+
+
+def _ends(date: str, days: int):
+    """Microseconds since 1970 (UTC) at which the window of ``days`` from ``date`` ends."""
+    return (F.unix_date(date) + days).cast("long") * _MICROS["day"]
+
+
+def _folded_days(stream: DataFrame, base: str, ts: str, value: str, late: str, keys: tuple[str, ...] = ()) -> tuple[DataFrame | None, int]:
+    """Per-date sums of a stream that resumes in ``base``: the state (date, keys, total, n)
+    and the watermark in microseconds, the latest time seen less ``late``.
+
+    A batch's rows of days that the batches before it had closed are late. They go
+    into the sums as all others do, so the day is right from then on, and beside
+    it into ``base/late`` (:func:`late_rows`). Both are written by epoch: a batch that
+    runs again after a lost driver replaces its own folders."""
+    spark = stream.sparkSession
+    state = EpochState(spark, f"{base}/days", ["date", *keys], ["total", "n"], ("latest",))
+
+    def fold(batch: DataFrame, epoch: int) -> None:
+        at = F.unix_micros(F.col(ts).cast("timestamp"))
+        sums = materialize(batch.groupBy(F.col(ts).cast("date").alias("date"), *keys).agg(
+            F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"), F.max(at).alias("latest")))
+        earlier = state.read(before=epoch)
+        closed = earlier.agg(F.max("latest")).first()[0] if earlier is not None else None
+        late_now = sums.where(_ends("date", 1) <= F.lit(closed - _micros(late))) if closed is not None else sums.limit(0)
+        late_now.select("date", *keys, "total", "n").write.mode("overwrite").parquet(f"{base}/late/{epoch}")
+        state.add(sums, epoch)
+
+    with utc_session(spark):
+        q = (stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{base}/_checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        state.compact()
+    days = state.read()
+    if days is None:
+        return None, 0
+    return days.drop("latest"), days.agg(F.max("latest")).first()[0] - _micros(late)
+
+
+def late_rows(spark: SparkSession, state_dir: str) -> DataFrame:
+    """epoch, date, [keys], total, n: sums of the rows that came after their day was closed, by
+    the batch that brought them."""
+    table = spark.read.parquet(f"{state_dir.rstrip('/')}/late/*")
+    epoch = F.element_at(F.split(F.regexp_extract(F.input_file_name(), r"/late/(\d+)/", 1), "/"), 1).cast("long")
+    return table.select(epoch.alias("epoch"), *table.columns)
+
+
+def _sliding(days: DataFrame, watermark: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """window_start, [keys], total, n of the closed windows of seven days, advancing by a day."""
+    starts = F.explode(F.sequence(F.date_sub("date", 6), F.col("date"))).alias("window_start")
+    return (days.select(starts, *keys, "total", "n").where(_ends("window_start", 7) <= F.lit(watermark))
+            .groupBy("window_start", *keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
+
+
 # --- S1: closed daily demand --------------------------------------------------
 
 def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days", late_rows: str = "fail",
-                        max_files: int | None = None) -> DataFrame:
+                        max_files: int | None = None, state_dir: str | None = None) -> DataFrame:
     """Sales stream -> tumbling 1-day totals, emitted once the watermark
     (max ship time - ``late``) closes the day. Rows for a day that an earlier
     batch has closed raise :class:`LateRows`, or go with
-    ``late_rows="drop"``."""
+    ``late_rows="drop"``. With ``state_dir`` the next call reads new files only, and
+    late rows correct their day instead (see :func:`late_rows` for them)."""
+    if state_dir:
+        li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA, max_files)
+        days, watermark = _folded_days(li, state_dir.rstrip("/"), "l_shipdate", "l_quantity", late)
+        if days is None:
+            return spark.createDataFrame([], "date date, daily_total_demand double, daily_rows long")
+        return days.where(_ends("date", 1) <= F.lit(watermark)).select(
+            "date", F.col("total").alias("daily_total_demand"), F.col("n").alias("daily_rows"))
     with utc_session(spark):
         li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA, max_files)
         ts = F.col("l_shipdate").cast("timestamp")
@@ -189,9 +312,17 @@ def stream_daily_demand(spark: SparkSession, sf_dir: str, late: str = "2 days",
 
 # --- S2: trailing 7-day demand -----------------------------------------------
 
-def stream_rolling_demand(spark: SparkSession, sf_dir: str, late: str = "1 day") -> DataFrame:
+def stream_rolling_demand(spark: SparkSession, sf_dir: str, late: str = "1 day", state_dir: str | None = None) -> DataFrame:
     """Event stream -> sliding 7-day windows advancing by a day, per event
-    type; each window is emitted once closed by the watermark."""
+    type; each window is emitted once closed by the watermark. ``state_dir`` as in
+    :func:`stream_daily_demand`."""
+    if state_dir:
+        days, watermark = _folded_days(file_stream(spark, sf_dir, "events", EVENTS_SCHEMA), state_dir.rstrip("/"), "ts", "value",
+                                       late, ("event_type",))
+        if days is None:
+            return spark.createDataFrame([], "window_start date, event_type string, total_value double, n_events long")
+        return _sliding(days, watermark, ("event_type",)).select(
+            "window_start", "event_type", F.round("total", 6).alias("total_value"), F.col("n").alias("n_events"))
     with utc_session(spark):
         ev_ = file_stream(spark, sf_dir, "events", EVENTS_SCHEMA)
         roll = (ev_.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
@@ -203,9 +334,16 @@ def stream_rolling_demand(spark: SparkSession, sf_dir: str, late: str = "1 day")
         return run_available(out, "rolling_demand")
 
 
-def stream_rolling_sales(spark: SparkSession, sf_dir: str, late: str = "1 day") -> DataFrame:
+def stream_rolling_sales(spark: SparkSession, sf_dir: str, late: str = "1 day", state_dir: str | None = None) -> DataFrame:
     """Sales stream -> trailing 7-day demand ending each day (sliding
-    windows advancing by a day), emitted once closed by the watermark."""
+    windows advancing by a day), emitted once closed by the watermark. ``state_dir`` as in
+    :func:`stream_daily_demand`."""
+    if state_dir:
+        days, watermark = _folded_days(file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA), state_dir.rstrip("/"),
+                                       "l_shipdate", "l_quantity", late)
+        if days is None:
+            return spark.createDataFrame([], "window_start date, demand_7d double, sales_7d long")
+        return _sliding(days, watermark).select("window_start", F.col("total").alias("demand_7d"), F.col("n").alias("sales_7d"))
     with utc_session(spark):
         li = file_stream(spark, sf_dir, "lineitem", LINEITEM_SCHEMA)
         roll = (li.select(F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_quantity").alias("qty"))
@@ -287,6 +425,22 @@ def retrain_gate(metrics: DataFrame, current: str, candidate: str, split: str =
     return g.withColumn("accept", ok)
 
 
+def promote_if_better(store, name: str, challenger: dict, save, r2_tolerance: float = 0.0,
+                      mae_tolerance: float = 0.0) -> dict:
+    """Champion and challenger. ``challenger`` has r2 and mae (and what else describes it);
+    against the champion's they pass the same gate as :func:`retrain_gate`. Only an
+    accepted challenger is saved (``save()``) and becomes the next version, by
+    one file that appears whole; if another session was faster, the challenger is compared
+    with the new champion. Returns accept, and the champion that serves now."""
+    while True:
+        champion = store.champion(name)
+        accept = champion is None or (challenger["r2"] >= champion["r2"] - r2_tolerance
+                                      and challenger["mae"] <= champion["mae"] * (1 + mae_tolerance))
+        if not accept:
+            return {"accept": False, "champion": champion}
+        save()
+        if store.promote(name, challenger, champion):
+            return {"accept": True, "champion": store.champion(name)}
 
 
 # --- S3 (full): incremental insight refresh -------------------------------------

@@ -84,3 +84,25 @@ def test_correlation_takes_pairs_that_have_both_values(spark):
     want = pdf.corr()
     assert got.keys() == {("a", "b"), ("a", "c"), ("b", "c")}
     assert all(abs(v - want.loc[k[0], k[1]]) < 1e-9 for k, v in got.items())
+
+
+def test_correlation_keeps_its_digits_and_skips_nulls(spark):
+    """Means of 1e9 with a spread of one, nulls in either column, a constant column."""
+    import numpy as np
+
+    from demandkit.plans.catalog import corr_long
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=500)
+    data = {"a": a, "b": 1e9 + a + rng.normal(size=500), "c": -1e9 + rng.normal(size=500), "d": np.full(500, 3.3), "e": rng.normal(size=500) - a}
+    rows = [[None if (name == "e" and i % 7 == 0) or (name == "a" and i % 11 == 3) else float(v[i]) for name, v in data.items()] + [None]
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(6)
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in corr_long(df, list("abcdef")).collect()}
+    assert len(got) == 15
+    for (x, y), value in got.items():
+        if "d" in (x, y) or "f" in (x, y):
+            assert value is None
+            continue
+        i, j = "abcde".index(x), "abcde".index(y)
+        both = np.array([(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
+        assert abs(value - np.corrcoef(both.T)[0, 1]) < 1e-7

@@ -70,3 +70,59 @@ def test_feature_shares_keep_their_point():
     assert M._subset(1.0) == "1.0" and M._subset(0.5) == "0.5" and M._subset("sqrt") == "sqrt"
     with pytest.raises(TypeError):
         M.forest(min_samples_split=5)
+
+
+def test_store_fits_once_and_publishes_whole(spark, tmp_path):
+    from demandkit.operators.model_store import ModelStore
+    df, fits = _planted(spark, 100), []
+
+    def fit():
+        fits.append(1)
+        return M.fit(df, M.linear(), FEATS)
+
+    content = {"files": [("a", 1, 2)], "settings": {"x": None}}
+    one = ModelStore(spark, str(tmp_path / "s")).fitted(content, fit)
+    two = ModelStore(spark, str(tmp_path / "s")).fitted(dict(reversed(content.items())), fit)  # another session
+    assert len(fits) == 1 and M.coefficients(one, FEATS) == M.coefficients(two, FEATS)
+    ModelStore(spark, str(tmp_path / "s")).fitted({**content, "files": [("a", 1, 3)]}, fit)
+    assert len(fits) == 2  # changed input, another address
+    store = ModelStore(spark, str(tmp_path / "s"))
+    assert store.create("x/y.json", {"v": 1}) and not store.create("x/y.json", {"v": 2}) and store.read("x/y.json") == {"v": 1}
+    assert store.names("x") == ["y.json"] and store.read("x/none.json") is None and store.champion("nobody") is None
+
+
+def test_search_of_both_kinds_finishes_and_resumes(spark, tmp_path, monkeypatch):
+    """12 x 5 fits of each kind from the whole spaces (with a hundredth of the trees and less depth) on a small frame."""
+    from demandkit.operators import search
+    from demandkit.operators.model_store import ModelStore
+    train = contiguous_folds(_planted(spark, 60), ["id"], 5).coalesce(1).cache()
+    store, fits, real = ModelStore(spark, str(tmp_path / "s")), [], search.fit
+    monkeypatch.setattr(search, "fit", lambda *a: fits.append(1) or real(*a))
+    for kind, space, n in (("forest", M.FOREST_SPACE, 30), ("boosted", M.BOOSTED_SPACE, 40)):
+        small = {**space, "n_estimators": [max(1, x // 100) for x in space["n_estimators"]], "max_depth": [2, 3]}
+        args = (train, {"frame": "planted"}, kind, small, min(n, 12), store)
+        kw = dict(features=FEATS, parallelism=4)
+        del fits[:]
+        part = search.search_table(*args, **kw, most=7)
+        assert part.count() == 7 == len(fits)
+        table = search.search_table(*args, **kw)  # a new driver goes on
+        whole = min(n, 12) * 5
+        assert table.count() == whole == len(fits)
+        again = search.search_table(*args, **kw)
+        assert len(fits) == whole and sorted(map(tuple, again.collect())) == sorted(map(tuple, table.collect()))
+        ranks = search.ranked(table).orderBy("rank").collect()
+        assert [r["rank"] for r in ranks] == list(range(1, min(n, 12) + 1)) and all(r.folds == 5 for r in ranks)
+        assert ranks[0].mae == min(r.mae for r in ranks) and search.best_params(table) in M.sample_params(small, min(n, 12))
+        est = M.ESTIMATORS[kind](**search.best_params(table))
+        want = M.cross_validate(train, est, features=FEATS).agg(F.avg("mae")).first()[0]
+        assert abs(want - ranks[0].mae) < 1e-9
+
+
+def test_scored_rows_keep_their_own_columns(spark, small_dir, tmp_path):
+    from demandkit.plans.context import Tables
+    t = Tables(spark, small_dir)
+    loaded = t.artifacts("Linear Regression", str(tmp_path / "m"))
+    raw = t.eng_model.where(F.col("split") == "test")
+    back = loaded.score(raw)
+    assert back.columns == [*raw.columns, "prediction"] and back.drop("prediction").exceptAll(raw).isEmpty()
+    t.release()

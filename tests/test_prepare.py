@@ -53,7 +53,7 @@ def test_time_split(spark):
 
 def test_split_partitions_rows(spark, small_dir):
     from demandkit.plans.context import Tables
-    eng = Tables(spark, small_dir).eng
+    eng = Tables(spark, small_dir).eng_features
     total = eng.count()
     train = eng.where(F.col("split") == "train")
     test = eng.where(F.col("split") == "test")

@@ -148,3 +148,61 @@ def test_nightly_jobs_resume_and_read_new_files_only(spark, small_dir, tmp_path,
     assert len(sizes) == before  # no new file, nothing read
     want = sorted(tuple(r) for r in S.nightly_insights(spark, small_dir).collect())
     assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in recs.collect()) == want
+
+
+def _sales(spark, out, days, hour=12):
+    rows = [(i, 1, 1, 1, 1.0 + i, 1.0, 0.0, 0.0, "N", "O", dt.datetime(2024, 1, d, hour)) for i, d in enumerate(days)]
+    spark.createDataFrame(rows, S.LINEITEM_SCHEMA).coalesce(1).write.parquet(str(out))
+    return next(out.glob("*.parquet"))
+
+
+@pytest.mark.parametrize("name", ["stream_daily_demand", "stream_rolling_sales"])
+def test_streams_resume_and_late_rows_correct_their_day(spark, tmp_path, name):
+    import shutil
+    folder = tmp_path / "flat" / "lineitem.parquet"
+    folder.mkdir(parents=True)
+    run = lambda: sorted(tuple(r) for r in getattr(S, name)(spark, str(tmp_path / "flat"), state_dir=str(tmp_path / "state")).collect())
+    results = []
+    for i, days in enumerate([range(1, 11), [20, 9], [2, 21]]):
+        shutil.copy(_sales(spark, tmp_path / f"b{i}", days), folder / f"part-{i}.parquet")
+        results.append(run())
+    assert run() == results[-1]  # no new file: the same state
+    rows = spark.read.schema(S.LINEITEM_SCHEMA).parquet(str(folder))
+    fresh = sorted(tuple(r) for r in getattr(S, name)(spark, str(tmp_path / "flat"), state_dir=str(tmp_path / "other")).collect())
+    assert results[-1] == fresh and rows.count() == 14  # late rows count as if they had been in time
+    late = {(r.epoch, r.date.day): r.n for r in S.late_rows(spark, str(tmp_path / "state")).collect()}
+    allowed = 2 if name == "stream_daily_demand" else 1
+    assert late[2, 2] == 1 and ((1, 9) in late) == (allowed == 0 or 10 <= 10 - allowed)
+    if name == "stream_daily_demand":
+        day2 = {r[0].day: r[2] for r in results[0]}[2], {r[0].day: r[2] for r in results[-1]}[2]
+        assert day2 == (1, 2)
+
+
+def test_state_folders_of_old_epochs_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "COMPACT_EPOCHS", 1)
+    state = S.EpochState(spark, str(tmp_path / "s"), ["k"], ["v"])
+    for epoch in range(9):
+        state.add(spark.createDataFrame([(epoch % 2, 1.0)], "k int, v double"), epoch)
+        state.compact()
+        assert sum(r.v for r in state.read().collect()) == epoch + 1
+    assert len(list((tmp_path / "s" / "snapshots").iterdir())) <= 2 and len(list((tmp_path / "s" / "epochs").iterdir())) <= 5
+
+
+def test_champion_changes_only_through_the_gate(spark, tmp_path):
+    from demandkit.operators.model_store import ModelStore
+    store, saved = ModelStore(spark, str(tmp_path / "store")), []
+
+    def offer(r2, mae, **kw):
+        return S.promote_if_better(store, "demand", {"model": f"m{r2}", "r2": r2, "mae": mae}, lambda: saved.append(r2), **kw)
+
+    assert offer(0.8, 6.0)["accept"] and store.champion("demand")["version"] == 1
+    rejected = offer(0.79, 5.0)
+    assert not rejected["accept"] and rejected["champion"]["model"] == "m0.8" and saved == [0.8]
+    assert not offer(0.81, 6.5)["accept"]
+    assert offer(0.81, 6.5, mae_tolerance=0.1)["champion"]["version"] == 2 and saved == [0.8, 0.81]
+    # Another session promotes in between: the challenger is compared again with the new champion.
+    def race():
+        saved.append("race")
+        store.promote("demand", {"model": "other", "r2": 0.95, "mae": 1.0}, store.champion("demand"))
+    out = S.promote_if_better(store, "demand", {"model": "slow", "r2": 0.9, "mae": 2.0}, race)
+    assert not out["accept"] and out["champion"]["model"] == "other" and store.champion("demand")["version"] == 3

@@ -5,14 +5,16 @@ times: ``floor(x)`` whole copies and a fraction. Pivotal rounding pairs two
 fractional documents of a source and moves mass between them at random, in
 proportion to their sizes so that the words taken stay the same, until one
 of them is whole. Each leaf (a hash slice of a source, so that a hot source
-is split) leaves one fractional document; the residuals of the leaves meet in
-a reduction tree, level by level, until one per source is left, which is
-rounded by chance. All draws are functions of the seed and the doc_id:
+is split) goes from its largest document to its smallest and pairs each with all the
+smaller ones together, so a long document is balanced by many short ones and a leaf leaves
+one fractional document of the smallest; the residuals of the leaves meet in
+a reduction tree, pair by pair and level by level, until one per source is left, which is
+rounded to the nearer side. All draws are functions of the seed and the doc_id:
 reruns agree, whatever the partitioning.
 
 Defined cases: null text has size 0; documents of size 0 are never taken; a
-null source is a source of its own, last in order; a null doc_id draws as
-one fixed id; repeated rows are rounded one by one; an empty table gives an
+null source is a source of its own, last in order; a document without
+doc_id draws by its text; repeated rows are rounded one by one; an empty table gives an
 empty result; a source of total size 0 has target 0.
 """
 
@@ -120,23 +122,54 @@ def pivot(sizes: list[int], fractions: list[float], draws: list[float]) -> tuple
     return out, i
 
 
+def settle(sizes: list[int], fraction: float, draws: list[float]) -> list[float]:
+    """Round equal fractions of a leaf whose sizes descend. Each document is paired with all
+    the smaller ones as one partner: mass moves between the two at random until the
+    document is whole, and what the smaller ones gain or lose they share evenly, so they keep a
+    common fraction. The words taken stay the same, and what is left fractional is one document, the
+    smallest as a rule. Where the smaller ones can balance only one of the outcomes, that one is taken;
+    where none, they become whole and the document stays fractional."""
+    used = [i for i, s in enumerate(sizes) if s > 0]
+    out = [fraction] * len(sizes)
+    if not 0.0 < fraction < 1.0 or len(used) < 2:
+        return out
+    rest = float(sum(sizes))
+    words = fraction * rest
+    for i in used[:-1]:
+        s = sizes[i]
+        rest -= s
+        taken, left = 0.0 <= words - s <= rest, words <= rest
+        if not taken and not left:  # neither outcome: the smaller ones become whole, this one stays
+            high = draws[i] * (s + rest) < words
+            out[i] = (words - rest * high) / s
+            for j in used[used.index(i) + 1:]:
+                out[j] = float(high)
+            return out
+        one = draws[i] * (s + rest) < words if taken and left else taken
+        out[i] = float(one)
+        words = min(max(words - s * one, 0.0), rest)
+    last = words / sizes[used[-1]]
+    out[used[-1]] = last if 1e-12 < last < 1.0 - 1e-12 else float(round(last))
+    return out
+
+
 def _round_nodes(level: int, seed: int):
     schema = arrow_schema(_LEAF)
 
     def run(batches):
         for run_ in key_runs(batches, "node"):
             cols = {c: run_.column(c).to_pylist() for c in run_.column_names}
-            draws = _draw(np.array([hash_id(d) for d in cols["doc_id"]], np.int64), seed + level).tolist()
-            cols["fraction"], _ = pivot(cols["size"], cols["fraction"], draws)
+            keys = [k if d is None else d for d, k in zip(cols["doc_id"], cols["doc_key"], strict=True)]
+            draws = _draw(np.array(keys, np.int64), seed + level).tolist()
+            if level:
+                cols["fraction"], _ = pivot(cols["size"], cols["fraction"], draws)
+            else:
+                cols["fraction"] = settle(cols["size"], cols["fraction"][0], draws)
             yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
 
     return run
 
 
-def hash_id(doc_id: int | None) -> int:
-    return -1 if doc_id is None else doc_id
-
-
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = SEED,
            leaf_rows: int = LEAF_ROWS, fan: int = TREE_FAN) -> DataFrame:
     """One row per document: doc_id, doc_key, size, source_size, target,
@@ -146,7 +179,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
                            .withColumn("times", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                                        .otherwise(F.lit(0.0)))
                            .withColumn("leaves", F.ceil(F.col("n_docs") / leaf_rows).cast("long")))
-    leaf = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.col("leaves"))
+    leaf = F.pmod(F.xxhash64(F.coalesce("doc_id", "doc_key"), F.lit(seed)), F.col("leaves"))
     rows = (sized.join(small(targets), sized["source"].eqNullSafe(targets["source"]))
             .select(leaf.alias("node"), "source_no", "doc_id", "doc_key", "size",
                     F.floor("times").cast("long").alias("base"), (F.col("times") - F.floor("times")).alias("fraction")))
@@ -155,12 +188,12 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     while True:
         # A node of the tree is (source, slice): one column, as runs of equal keys are read.
         keyed = rows.withColumn("node", F.col("source_no") * F.lit(1 << 40) + F.col("node"))
-        keyed = map_arrow(keyed.repartition("node").sortWithinPartitions("node", "doc_id", "size", "doc_key"),
+        keyed = map_arrow(keyed.repartition("node").sortWithinPartitions("node", F.desc("size"), "doc_id", "doc_key"),
                           _round_nodes(level, seed), _LEAF)
         keyed = checkpointed(keyed.withColumn("node", F.col("node") % F.lit(1 << 40)))
         open_ = (F.col("fraction") > 0) & (F.col("fraction") < 1) & (F.col("size") > 0)
         if most_nodes == 1:
-            left = F.when(open_, (uniform(seed + 97) < F.col("fraction")).cast("double")).otherwise(F.col("fraction"))
+            left = F.when(open_, (F.col("fraction") >= 0.5).cast("double")).otherwise(F.col("fraction"))
             keyed, last = keyed.withColumn("fraction", left), True
         else:
             last = False
@@ -176,11 +209,6 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
                     (F.col("copies") * F.col("size")).alias("taken")))
 
 
-def uniform(seed: int) -> Column:
-    """A number in [0, 1) from the doc_id."""
-    return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-
-
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents, each as many times as it is taken. Rows equal in
     doc_id and text are one document here, whose copies add up."""

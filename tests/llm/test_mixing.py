@@ -47,6 +47,36 @@ def test_targets_are_met_and_reruns_agree(make_docs, fixture_rows):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
+@pytest.mark.parametrize("leaf_rows", [4096, 40])
+def test_sources_with_long_documents_come_near_their_targets(spark, make_docs, leaf_rows):
+    """A few texts of half a source's words and many short ones: every source is within 2 % of its target or
+    the size of a short document."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(rng.integers(20, 60)), f"s{i % 3}") for i in range(300)] + [
+        (1000 + i, "w " * int(rng.integers(1500, 2500)), f"s{i % 3}") for i in range(6)] + [(None, "n " * 30, "s1")] * 9
+    taken, want, size = {}, {}, {}
+    for r in X.copies(make_docs(rows), leaf_rows=leaf_rows).collect():
+        s = (r.source_size, r.target)
+        taken[s], want[s] = taken.get(s, 0) + r.taken, r.target
+    assert len(want) == 3
+    # Leaves of 40 rows hold fewer words than one long text: what is left is half of one at most.
+    assert all(abs(taken[s] - want[s]) <= (max(0.02 * want[s], 60) if leaf_rows > 100 else 1250) for s in want)
+
+
+def test_settling_a_leaf_keeps_words_and_expectation():
+    rng = np.random.default_rng(6)
+    sizes = sorted(rng.integers(1, 50, 25).tolist(), reverse=True) + [0]
+    mean = np.zeros(26)
+    for _ in range(3000):
+        out = X.settle(sizes, 0.3, rng.random(26).tolist())
+        assert sum(0 < x < 1 for x, n in zip(out, sizes, strict=True) if n) <= 1
+        assert np.dot(sizes, out) == pytest.approx(0.3 * sum(sizes))
+        mean += out
+    assert np.abs(mean[:20] / 3000 - 0.3).max() < 0.05  # the last few must fit what is left
+    for f in (0.1, 0.5, 0.9):  # a document larger than all others together
+        assert np.dot([1000, 3, 2, 1], X.settle([1000, 3, 2, 1], f, [0.5] * 4)) == pytest.approx(f * 1006)
+
+
 def test_reduction_tree_of_many_leaves(make_docs):
     rng = np.random.default_rng(2)
     rows = [(i, "w " * int(rng.integers(1, 60)), f"s{i % 4 if i % 3 else 0}") for i in range(600)]

@@ -20,14 +20,12 @@ documents.
 Templates depend on the order of lines, so a leaf takes its distinct lines
 in the order of their bytes: results don't depend on the partitioning.
 Defined cases: null text is empty; blank lines are never dropped and belong
-to no template; each row counts as a document, those equal in doc_id and
-text too; an empty table gives an empty result; other columns are ignored.
+to no template; rows equal in doc_id and text are one document; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -100,7 +98,7 @@ def _count_pass(least_docs: int):
         for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True):
             for content in {b" ".join(p) for p in map(fields, text.split(b"\n")) if p}:
                 keys = docs.setdefault(content, [])
-                if len(keys) < least_docs:
+                if len(keys) < least_docs and key not in keys:
                     keys.append(key)
         return {"leaf": [leaf(c.split(b" ")) for c in docs], "content": list(docs), "docs": list(docs.values())}
 
@@ -108,15 +106,8 @@ def _count_pass(least_docs: int):
 
 
 def recurs(lines: list[list[int]], least_docs: int) -> bool:
-    """Whether the documents that hold any of the lines are enough. Rows equal
-    in key hold the same lines: a key counts as often as in the line that has
-    it most."""
-    if max(map(len, lines)) >= least_docs:
-        return True
-    found: Counter = Counter()
-    for keys in lines:
-        found |= Counter(keys)
-    return found.total() >= least_docs
+    """Whether enough different documents hold any of the lines."""
+    return max(map(len, lines)) >= least_docs or len(set().union(*lines)) >= least_docs
 
 
 def _leaves(least_docs: int, similarity: float):
@@ -144,7 +135,7 @@ def _leaves(least_docs: int, similarity: float):
                 if not lines or lines[-1][0] != content:
                     lines.append((content, docs))
                 elif len(lines[-1][1]) < least_docs:
-                    lines[-1][1].extend(docs)
+                    lines[-1][1].extend(d for d in docs if d not in lines[-1][1])
         close(lines)
         yield _rows(out, schema)
 

@@ -7,7 +7,7 @@ from demandkit.llm import line_templates as L
 def brute(rows):
     """Templates leaf by leaf, one line and one template at a time."""
     docs = collections.Counter()
-    for r in rows:
+    for r in dict.fromkeys((r[0], r[1] or "") for r in rows):
         docs.update({b" ".join(L.fields(x)) for x in (r[1] or "").encode().split(b"\n") if x.split()})
     leaves, gone = collections.defaultdict(list), set()
     for c in sorted(docs):
@@ -57,7 +57,9 @@ def test_variable_fields_and_edge_cases(make_docs):
 def test_repeated_rows_null_ids_and_empty_table(make_docs):
     rows = [(1, "one line here\nleft"), (1, "one line here\nleft"), (None, "one line here\nright"), (2, "other")]
     out = L.clean(make_docs(rows)).collect()
-    assert len(out) == 4 and sorted(r.n_dropped for r in out) == [0, 1, 1, 1]
+    assert len(out) == 4 and sorted(r.n_dropped for r in out) == [0, 0, 0, 0]  # two documents hold the line
+    rows.append((3, "one line here"))
+    assert sorted(r.n_dropped for r in L.clean(make_docs(rows)).collect()) == [0, 1, 1, 1, 1]
     assert L.clean(make_docs([])).collect() == []
 
 
@@ -65,7 +67,8 @@ def by_documents(rows):
     """Row numbers whose lines are dropped: templates as in :func:`brute`, each
     with the set of rows that hold one of its lines."""
     docs = collections.defaultdict(set)
-    for n, r in enumerate(rows):
+    for r in rows:
+        n = (r[0], r[1] or "")
         for x in (r[1] or "").encode().split(b"\n"):
             if x.split():
                 docs[b" ".join(L.fields(x))].add(n)

@@ -7,7 +7,7 @@ and a logistic layer scores the weighted representation. Only document
 labels are used; which passages matter is learned.
 
 The model is fitted in numpy on at most ``FIT_ROWS`` labelled documents a
-class (passage vectors of that sample alone come to the driver) and applied
+class, of at most ``FIT_BYTES`` each (passage vectors of that sample alone come to the driver), and applied
 to whole texts in one pass without a shuffle. Defined cases: null and empty
 texts are one empty passage; a shorter text is one passage; without labels
 of both classes every score is the share of label 1 (1.0 without labels);
@@ -29,6 +29,9 @@ from .labelled import fit_sample, label_table, remainder
 
 #: Labelled documents of each class that the model is fitted on at most.
 FIT_ROWS = 3_000
+#: Longest text of the sample, so that the passages that come to the driver have a bound too: at
+#: most 2 * FIT_ROWS * FIT_BYTES / PASSAGE_BYTES vectors. Longer texts are scored like all others.
+FIT_BYTES = 256 << 10
 MODULUS, HELD = 5, 0
 THRESHOLD = 0.3
 
@@ -164,13 +167,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model | Non
         return {"doc_id": b.column("doc_id"), "label": b.column("label"),
                 "x": [x[i:j].ravel() for i, j in zip(at[:-1], at[1:], strict=True)]}
 
-    got = map_passes(sample.select("doc_id", "label", "text"), "doc_id long, label int, x array<float>", step,
+    got = map_passes(sample.where(F.octet_length("text") <= FIT_BYTES).select("doc_id", "label", "text"), "doc_id long, label int, x array<float>", step,
                      size=ENCODE_BYTES).toArrow()
     got = got.sort_by([("doc_id", "ascending")])
     y = np.array(got.column("label").to_pylist(), float)
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, FEATURES).astype(float)
     per_doc = np.array(got.column("x").combine_chunks().value_lengths().to_pylist()) // FEATURES
-    if y.min(initial=1) == y.max(initial=0):
+    if len(set(y)) < 2:
         return None
     centre, spread, w = train(x, per_doc, y)
     return Model(centre.astype(np.float32), spread.astype(np.float32),

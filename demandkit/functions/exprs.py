@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the date format of the sales export.
 DATE_FORMAT = "dd-MM-yyyy"
 
 
@@ -40,6 +41,7 @@ def calendar_columns(d: str | Column) -> dict[str, Column]:
     """The nine calendar features: Monday = 0 weekday, ISO week."""
     d = col(d)
     dow = F.weekday(d)
+    # The names of the features.
     return {
         "day_of_week": dow,
         "day_of_month": F.dayofmonth(d),

@@ -21,6 +21,7 @@ from .ordering import exact_quantiles
 PAIR = ["product", "brand"]
 
 
+# The default policy.
 @dataclass(frozen=True)
 class InventoryPolicy:
     lead_time_days: int = 7

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import calendar_columns, parse_percent
-from ..session import BROADCAST_ROW_LIMIT, broadcast_if_small, materialize
+from ..session import BROADCAST_BYTES, BROADCAST_ROW_LIMIT, broadcast_if_small, materialize, row_bytes
 from .features import LAG_COLS, attach_daily_features, daily_features, drop_warmup
 from .ordering import row_index
 
@@ -97,12 +97,13 @@ def label_encode(df: DataFrame, cols: Sequence[str] = CATEGORICAL_COLS,
     rows) and are materialized; each is broadcast only when a bounded count
     shows it small. Values without a code get ``unseen`` (NULL by default)."""
     maps = materialize(mappings if mappings is not None else encoder_mappings(df, cols))
-    # One job sizes every mapping (one row per column comes back).
-    sizes = {r[0]: r[1] for r in maps.groupBy("column_name").count().collect()}
+    # One job sizes every mapping in rows and bytes (one row per column comes back).
+    size = maps.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(maps)).alias("size"))
+    fits = {r[0]: r["n"] <= BROADCAST_ROW_LIMIT and r["size"] <= BROADCAST_BYTES for r in size.collect()}
     for c in cols:
         m = maps.where(F.col("column_name") == c).select(
             F.col("value").alias(c), F.col("code").alias(f"{c}_encoded"))
-        df = df.join(F.broadcast(m) if sizes.get(c, 0) <= BROADCAST_ROW_LIMIT else m, c, "left")
+        df = df.join(F.broadcast(m) if fits.get(c, True) else m, c, "left")
         if unseen is not None:
             df = df.withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(unseen).cast("long")))
     return df

@@ -131,12 +131,14 @@ health AS (
   FROM sh1
 )"""
 
+# Labels, actions and colours of the decisions, as in operators/inventory.py.
 HEALTH_ACTION_SQL = """CASE health
   WHEN 'Deadstock' THEN 'Liquidate — deep discount or bundle'
   WHEN 'Slow-Moving' THEN 'Promote — run targeted discounts'
   WHEN 'Fast-Moving' THEN 'Maintain — ensure consistent stock'
   ELSE 'Monitor — standard replenishment' END"""
 
+# Labels, actions and colours of the decisions, as in operators/inventory.py.
 RECS_SQL = """
 rj AS (
   SELECT i.*, coalesce(h.health, 'Normal') AS hh, coalesce(h.turnover_ratio, 5.0) AS tt

@@ -10,9 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest number of (short) rows we are willing to ship to every executor as a
-# broadcast hash table, some 50 MB. Beyond it the join is a shuffle join; the
-# result is the same.
+# Most bytes of values, and most rows, that we are willing to ship to every executor as a
+# broadcast hash table (which takes a few times as much). Beyond either the join is a shuffle
+# join; the result is the same.
+BROADCAST_BYTES = 32 << 20
 BROADCAST_ROW_LIMIT = 500_000
 
 
@@ -83,10 +84,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast-hint ``df`` only when its count proves it small.
+def row_bytes(df: DataFrame):
+    """Bytes of a row's values: those of strings, binaries and arrays of them as text, eight of any other."""
+    sized = [F.coalesce(F.octet_length(F.col(c).cast("string") if t.startswith(("array", "map", "struct")) else F.col(c)), F.lit(0))
+             if t in ("string", "binary") or t.startswith(("array", "map", "struct")) else F.lit(8) for c, t in df.dtypes]
+    return sum(sized, F.lit(16)).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast-hint ``df`` only when a count of its rows and of their bytes proves it small.
 
     ``df`` should be materialized (see :func:`materialize`) so the count is
-    cheap; above the limit the frame is returned unhinted and the join
+    cheap; above a limit the frame is returned unhinted and the join
     shuffles both sides instead."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ordering import row_numbers
+from ..session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -157,7 +158,7 @@ def document_chunks(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], rows:
     empty section has none. A chunk has at most ``rows`` rows."""
     out = None
     for name, (df, keys) in tables.items():
-        places = row_numbers(df, list(keys), "_at")
+        places = row_numbers(materialize(df), list(keys), "_at")  # counted, bounded and numbered: computed once
         row = F.struct("_at", F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
         one = places.groupBy(F.floor(F.col("_at") / rows).cast("int").alias("chunk")).agg(
             F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list(row)).alias("_rows"))  # a chunk is bounded

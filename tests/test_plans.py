@@ -43,3 +43,27 @@ def test_recent_window_bound_reaches_scan(spark, small_dir):
     plan = _plan(entry.queries()["recent_window"](spark, small_dir))
     pushed = re.findall(r"lineitem\.parquet.*?PushedFilters: \[([^\]]*)\]", plan)
     assert any("GreaterThanOrEqual(l_shipdate" in p for p in pushed)
+
+
+@pytest.mark.parametrize("name", ["regression_metrics", "histogram", "contiguous_folds", "drift_monitor", "time_split", "split_report",
+                                  "target_stats", "box_stats", "residuals", "row_order", "sample_rows", "drop_warmup", "profile_shape"])
+def test_dates_and_quantities_need_no_dimension(spark, small_dir, name):
+    plan = _plan(entry.queries()[name](spark, small_dir))
+    assert not _scans(plan, "part") and not _scans(plan, "supplier") and not _scans(plan, "nation")
+
+
+@pytest.mark.parametrize("name", ["product_brand_forecast", "inventory_optimization", "standard_scale", "normalise_by_max",
+                                  "round_modes", "target_correlation", "profile_describe"])
+def test_prices_and_products_need_no_dealer(spark, small_dir, name):
+    plan = _plan(entry.queries()[name](spark, small_dir))
+    assert not _scans(plan, "supplier") and not _scans(plan, "nation")
+
+
+def test_features_are_streamed_and_not_persisted(spark, small_dir):
+    plan = _plan(entry.queries()["select_features"](spark, small_dir))
+    assert "InMemory" not in plan and len(_scans(plan, "lineitem")) == 1
+
+
+def test_distinct_counts_take_no_copy_per_column_through_the_shuffle(spark, small_dir):
+    plan = _plan(entry.queries()["profile_nunique"](spark, small_dir))
+    assert "Expand" not in plan and len(_scans(plan, "lineitem")) == 1

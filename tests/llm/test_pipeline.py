@@ -14,7 +14,7 @@ from .test_minhash import brute as near
 
 def test_every_operator_has_its_query():
     names = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert names == set(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert names == set(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 def test_stages_in_turn_match_brute_force(spark, make_docs, small_dir, tmp_path):

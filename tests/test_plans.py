@@ -61,7 +61,7 @@ def test_prices_and_products_need_no_dealer(spark, small_dir, name):
 
 def test_features_are_streamed_and_not_persisted(spark, small_dir):
     plan = _plan(entry.queries()["select_features"](spark, small_dir))
-    assert "InMemory" not in plan and len(_scans(plan, "lineitem")) == 1
+    assert "InMemoryTableScan" not in plan and len(_scans(plan, "lineitem")) == 1
 
 
 def test_distinct_counts_take_no_copy_per_column_through_the_shuffle(spark, small_dir):

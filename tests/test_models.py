@@ -126,3 +126,27 @@ def test_scored_rows_keep_their_own_columns(spark, small_dir, tmp_path):
     back = loaded.score(raw)
     assert back.columns == [*raw.columns, "prediction"] and back.drop("prediction").exceptAll(raw).isEmpty()
     t.release()
+
+
+def test_training_frame_takes_a_partition_a_core_until_these_are_full(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [M.training_partitions(n, 12) for n in (0, 20_001, 2_850_000, 28_500_000, 171_000_000)] == [1, 2, 12, 29, 171]
+    many = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:  # not as many as the session shuffles
+        frame = M.persist_training(spark.range(cores * 200).withColumn("k", F.col("id") % 7), ["id"], rows=100)
+        assert frame.rdd.getNumPartitions() == cores
+        frame.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", many)
+
+
+def test_only_deep_trees_cache_node_ids(spark):
+    """An execution setting: the trees are the same."""
+    assert not M.boosted().getCacheNodeIds() and M.forest().getCacheNodeIds()
+    df = _planted(spark, 300).coalesce(2)
+    small = dict(n_estimators=4, max_depth=3)
+    for est in (M.boosted(**small), M.forest(**small)):
+        assert not est.getCacheNodeIds()
+        plain, cached = (M.fit(df, e, FEATS).stages[-1].toDebugString.split("\n", 1)[1] for e in (est, est.copy().setCacheNodeIds(True)))
+        assert plain == cached

@@ -125,3 +125,21 @@ def test_pruned_views_equal_the_full_one(spark, small_dir):
         assert pruned.select(*cols).exceptAll(full.select(*cols)).isEmpty()
         assert pruned.count() == full.count()
     assert set(orphan_sales(spark, small_dir).first()) == {0}
+
+
+def test_large_dimensions_are_not_broadcast(spark, small_dir, monkeypatch):
+    from demandkit.sources import tables
+    columns = ("date", "product", "brand", "dealer", "qty")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    few = tables.sales_view(spark, small_dir, columns=columns)
+    assert "BroadcastExchange" in plan(few)
+    app = spark.sparkContext.applicationId
+    assert tables._ROWS[app, small_dir, "part"] == spark.read.parquet(f"{small_dir}/part.parquet").count()
+    for name in ("part", "supplier"):
+        monkeypatch.setitem(tables._ROWS, (app, small_dir, name), tables.BROADCAST_ROW_LIMIT + 1)
+    many = tables.sales_view(spark, small_dir, columns=columns)
+    assert "BroadcastExchange" not in plan(many) and plan(many).count("SortMergeJoin") == 2
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))

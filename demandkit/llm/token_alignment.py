@@ -140,21 +140,20 @@ class Tokenizers:
         numbers = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(numbers < 0).tolist()
         if new:
-            fresh = list(dict.fromkeys([words[i] for i in new]))
-            spaced = [" " + w for w in fresh]
-            of_a = [self.ranked.encode_ordinary(w) for w in spaced] if self.ranked and self.separable else \
-                [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-            of_b = self.b.encode(fresh, num_threads=1)
+            fresh = dict.fromkeys([words[i] for i in new])
+            # Only the first and the last word may begin or end in any character.
+            edges = [w for w in dict.fromkeys((words[0], words[-1])) if fresh.pop(w, self) is None]
+            fresh = [*fresh, *edges]
+            sizes = np.fromiter(map(len, map(str.encode, fresh)), np.int64, len(fresh)) + 1
+            a, n_a = self._encode_a(fresh, len(fresh) - len(edges), sizes)
+            b, n_b = _flat(self.b.encode(fresh, num_threads=1))
             at = len(known)
             known.update(zip(fresh, range(at, at + len(fresh))))
-            self.ids[0].extend(of_a)
-            self.ids[1].extend(of_b)
+            self.ids[0].extend(a, n_a)
+            self.ids[1].extend(b, n_b)
             if len(known) > len(self.good):
                 self.good = np.concatenate([self.good, np.zeros(len(known), bool)])
-            spell_a, spell_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-            self.good[at:at + len(fresh)] = [
-                b"".join(map(spell_a, a)) == w.encode() == b"".join(map(spell_b, b))
-                for w, a, b in zip(spaced, of_a, of_b, strict=True)]
+            self.good[at:at + len(fresh)] = self._spelled(fresh, sizes, a, n_a, b, n_b)
             numbers[new] = [known[words[i]] for i in new]
         a, b = (row.take(numbers) for row in self.ids)
         if self.good[numbers].all():
@@ -163,6 +162,44 @@ class Tokenizers:
         return a, b, (b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
                       == b"".join(map(self.b_bytes.__getitem__, b.tolist())))
 
+    def _encode_a(self, words: list[str], inner: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A of words with a space before each, in a row, and how many each has. The
+        first ``inner`` words stood between two cuts, and so do they side by side: the rank
+        tokenizer takes them at once, and the ends of its tokens part them again."""
+        if not self.ranked or not self.separable:
+            return _flat([x.ids for x in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)])
+        ids, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if inner:
+            ids = np.array(self.ranked.encode_ordinary(" " + " ".join(words[:inner])), np.int32)
+            ends, wanted = np.cumsum(self.a_size[ids]), np.cumsum(sizes[:inner])
+            last = np.searchsorted(ends, wanted)
+            if ends[-1] != wanted[-1] or (ends[last] != wanted).any():  # a token across a cut: one by one
+                ids, inner = ids[:0], 0
+            else:
+                counts = np.diff(last, prepend=-1)
+        more, n = _flat([self.ranked.encode_ordinary(" " + w) for w in words[inner:]])
+        return np.concatenate([ids, more]), np.concatenate([counts, n])
+
+    def _spelled(self, words: list[str], sizes: np.ndarray, *tokens: np.ndarray) -> np.ndarray:
+        """Whether both tokenizers spell each word with a space before it: all words at once, and
+        one by one where some differ. ``tokens``: ids and numbers of ids a word, of A and of B."""
+        raw, wanted = (" " + " ".join(words)).encode(), np.cumsum(sizes)
+        good = np.ones(len(words), bool)
+        for ids, counts, spell, size in ((*tokens[:2], self.a_bytes, self.a_size), (*tokens[2:], self.b_bytes, self.b_size)):
+            last, flat = np.cumsum(counts), ids.tolist()
+            ends = np.append(0, np.cumsum(size[ids]))[last]
+            if (ends == wanted).all() and b"".join(map(spell.__getitem__, flat)) == raw:
+                continue
+            good &= np.array([b"".join(map(spell.__getitem__, flat[e - n:e])) == b" " + w.encode()
+                              for w, e, n in zip(words, last.tolist(), counts.tolist(), strict=True)], bool)
+        return good
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids in a row, and how many each has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(counts.sum())), counts
+
 
 class _Row:
     """Lists of ids, one behind the other."""
@@ -170,17 +207,16 @@ class _Row:
     def __init__(self):
         self.values, self.start, self.n, self.lists = np.zeros(1024, np.int32), np.zeros(1024, np.int64), 0, 0
 
-    def extend(self, lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        more = int(sizes.sum())
+    def extend(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        more, lists = len(values), len(sizes)
         if self.n + more > len(self.values):
             self.values = np.concatenate([self.values, np.zeros(max(len(self.values), more), np.int32)])
-        if self.lists + len(lists) >= len(self.start):
-            self.start = np.concatenate([self.start, np.zeros(max(len(self.start), len(lists) + 1), np.int64)])
-        self.values[self.n:self.n + more] = np.fromiter(chain.from_iterable(lists), np.int32, more)
-        self.start[self.lists + 1:self.lists + len(lists) + 1] = self.n + np.cumsum(sizes)
+        if self.lists + lists >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros(max(len(self.start), lists + 1), np.int64)])
+        self.values[self.n:self.n + more] = values
+        self.start[self.lists + 1:self.lists + lists + 1] = self.n + np.cumsum(sizes)
         self.n += more
-        self.lists += len(lists)
+        self.lists += lists
 
     def take(self, numbers: np.ndarray) -> np.ndarray:
         """The lists with these numbers, joined."""

@@ -141,3 +141,29 @@ def test_rank_tokenizer_gives_the_ids_of_the_file(spark, fixture_rows):
     words = [" " + w for w in words]
     want = [x.ids for x in LIB_A.encode_batch_fast(words, add_special_tokens=False)]
     assert [TOOLS.ranked.encode_ordinary(w) for w in words] == want
+
+
+def test_new_words_of_a_text_take_one_call_and_are_parted_again():
+    tools = T.Tokenizers(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    calls = []
+
+    class Counted:
+        def encode_ordinary(self, text, real=tools.ranked):
+            calls.append(text)
+            return real.encode_ordinary(text)
+
+    tools.ranked = Counted()
+    words = ["(edge", "plain", "naïve", "word's", "ﬁgures", "tab\tinside", "日本語", "x" * 300, "1234567", "plain", "last\n\n "]
+    a, b, whole = tools.encode(words)
+    assert len(calls) == 3  # the words between two cuts at once, the first and the last one by one
+    for numbers in (words, words[::-1], ["ﬁgures", "  ", ""]):
+        tools.forget()
+        got = tools.encode(numbers)
+        one_a = [tools.a.encode(" " + w, add_special_tokens=False).ids for w in numbers]
+        one_b = [tools.b.encode(w) for w in numbers]
+        assert got[0].tolist() == sum(one_a, []) and got[1].tolist() == sum(one_b, [])
+        raw = (" " + " ".join(numbers)).encode()
+        assert got[2] == (raw == b"".join(tools.a_bytes[i] for i in got[0]) == b"".join(tools.b_bytes[i] for i in got[1]))
+        for w, x, y in zip(numbers, one_a, one_b):
+            good = b"".join(tools.a_bytes[i] for i in x) == b" " + w.encode() == b"".join(tools.b_bytes[i] for i in y)
+            assert tools.good[tools.memory[w]] == good

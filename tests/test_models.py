@@ -150,3 +150,11 @@ def test_only_deep_trees_cache_node_ids(spark):
         assert not est.getCacheNodeIds()
         plain, cached = (M.fit(df, e, FEATS).stages[-1].toDebugString.split("\n", 1)[1] for e in (est, est.copy().setCacheNodeIds(True)))
         assert plain == cached
+
+
+def test_kept_rows_are_cut_by_their_number_not_by_the_scan(spark, small_dir, monkeypatch):
+    from demandkit.plans.context import Tables
+    monkeypatch.setattr(M, "training_partitions", lambda *a: 5)
+    t = Tables(spark, small_dir)
+    assert t.eng_model.rdd.getNumPartitions() == 5
+    t.release()

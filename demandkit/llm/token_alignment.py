@@ -22,7 +22,9 @@ block, and meets the answers in a cogroup; no link is ever shuffled by itself.
 Texts are cut at a single space between a character that is no white space and
 a letter or digit: no token of A or B crosses it (checked on the files; without that
 property texts stay whole), so distinct words are tokenised once per task and a very
-long text is aligned piece by piece, in bounded memory.
+long text is aligned piece by piece, in bounded memory. Where both tokenizers spell a word, both end
+with it, and no group or link crosses it: the new words of a text are aligned side by side, and a task remembers
+the groups and links of each.
 
 Defined cases: a text that is null or empty, or whose tokens' bytes aren't those of
 a space and the text, has no tokens: numbers 0 and an empty ``groups_sha256``.
@@ -37,8 +39,8 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
-from itertools import chain, repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -112,10 +114,13 @@ class Tokenizers:
         return tiktoken.Encoding("entries", pat_str=public_tokenizers.PATTERN, mergeable_ranks=entries, special_tokens={})
 
     def forget(self) -> None:
-        """Empty the memory: word -> number; ids of all words in a row, with where each begins."""
+        """Empty the memory: word -> number; ids and links of all words in a row, with where each begins;
+        the numbers of their groups, and these as text."""
         self.memory: dict[str, int] = {}
         self.ids = [_Row(), _Row()]
-        self.good = np.zeros(1024, bool)
+        self.links = _Row(np.int64)
+        self.good, self.n_groups = np.zeros(1024, bool), np.zeros(1024, np.int64)
+        self.groups: list[bytes] = []
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """Runs of words that both tokenizers can take one by one."""
@@ -134,15 +139,29 @@ class Tokenizers:
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, bool]:
         """Ids of A and B of the words, each with a space before it, and
         whether both spell the text's bytes."""
-        if len(self.memory) > CACHE_WORDS or self.ids[0].n + self.ids[1].n > CACHE_IDS:
+        return self.tokens(words, self.numbers(words))
+
+    def tokens(self, words: list[str], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """As :meth:`encode`, of words with known numbers."""
+        a, b = (row.take(numbers) for row in self.ids)
+        if self.good[numbers].all():
+            return a, b, True
+        raw = (" " + " ".join(words)).encode()
+        return a, b, (b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
+                      == b"".join(map(self.b_bytes.__getitem__, b.tolist())))
+
+    def numbers(self, words: list[str], ends: Iterable[str] = ()) -> np.ndarray:
+        """Numbers of the words in the memory; new ones are tokenised and aligned first. ``ends``: the
+        first and last words of the pieces that ``words`` are from (by default they are of one piece)."""
+        if len(self.memory) > CACHE_WORDS or self.ids[0].n + self.ids[1].n + self.links.n > CACHE_IDS:
             self.forget()
         known = self.memory
         numbers = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(numbers < 0).tolist()
         if new:
             fresh = dict.fromkeys([words[i] for i in new])
-            # Only the first and the last word may begin or end in any character.
-            edges = [w for w in dict.fromkeys((words[0], words[-1])) if fresh.pop(w, self) is None]
+            # Only the first and the last word of a piece may begin or end in any character.
+            edges = [w for w in dict.fromkeys(ends or (words[0], words[-1])) if fresh.pop(w, self) is None]
             fresh = [*fresh, *edges]
             sizes = np.fromiter(map(len, map(str.encode, fresh)), np.int64, len(fresh)) + 1
             a, n_a = self._encode_a(fresh, len(fresh) - len(edges), sizes)
@@ -152,15 +171,13 @@ class Tokenizers:
             self.ids[0].extend(a, n_a)
             self.ids[1].extend(b, n_b)
             if len(known) > len(self.good):
-                self.good = np.concatenate([self.good, np.zeros(len(known), bool)])
-            self.good[at:at + len(fresh)] = self._spelled(fresh, sizes, a, n_a, b, n_b)
+                self.good, self.n_groups = (np.concatenate([x, np.zeros(len(known), x.dtype)]) for x in (self.good, self.n_groups))
+            good = self.good[at:at + len(fresh)] = self._spelled(fresh, sizes, a, n_a, b, n_b)
+            pairs, n_links, self.n_groups[at:at + len(fresh)], texts = align_words(self, good, a, n_a, b, n_b)
+            self.links.extend(pairs, n_links)
+            self.groups += texts
             numbers[new] = [known[words[i]] for i in new]
-        a, b = (row.take(numbers) for row in self.ids)
-        if self.good[numbers].all():
-            return a, b, True
-        raw = (" " + " ".join(words)).encode()
-        return a, b, (b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
-                      == b"".join(map(self.b_bytes.__getitem__, b.tolist())))
+        return numbers
 
     def _encode_a(self, words: list[str], inner: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A of words with a space before each, in a row, and how many each has. The
@@ -181,14 +198,15 @@ class Tokenizers:
         return np.concatenate([ids, more]), np.concatenate([counts, n])
 
     def _spelled(self, words: list[str], sizes: np.ndarray, *tokens: np.ndarray) -> np.ndarray:
-        """Whether both tokenizers spell each word with a space before it: all words at once, and
-        one by one where some differ. ``tokens``: ids and numbers of ids a word, of A and of B."""
-        raw, wanted = (" " + " ".join(words)).encode(), np.cumsum(sizes)
+        """Whether both tokenizers spell each word with a space before it: all words of the right length at
+        once, and one by one where some differ. ``tokens``: ids and numbers of ids a word, of A and of B."""
         good = np.ones(len(words), bool)
         for ids, counts, spell, size in ((*tokens[:2], self.a_bytes, self.a_size), (*tokens[2:], self.b_bytes, self.b_size)):
             last, flat = np.cumsum(counts), ids.tolist()
-            ends = np.append(0, np.cumsum(size[ids]))[last]
-            if (ends == wanted).all() and b"".join(map(spell.__getitem__, flat)) == raw:
+            fits = np.diff(np.append(0, np.cumsum(size[ids]))[last], prepend=0) == sizes
+            kept, of_kept = (words, flat) if fits.all() else (compress(words, fits), ids[np.repeat(fits, counts)].tolist())
+            if b"".join(map(spell.__getitem__, of_kept)) == b"".join([b" " + w.encode() for w in kept]):
+                good &= fits
                 continue
             good &= np.array([b"".join(map(spell.__getitem__, flat[e - n:e])) == b" " + w.encode()
                               for w, e, n in zip(words, last.tolist(), counts.tolist(), strict=True)], bool)
@@ -204,13 +222,13 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 class _Row:
     """Lists of ids, one behind the other."""
 
-    def __init__(self):
-        self.values, self.start, self.n, self.lists = np.zeros(1024, np.int32), np.zeros(1024, np.int64), 0, 0
+    def __init__(self, kind=np.int32):
+        self.values, self.start, self.n, self.lists = np.zeros(1024, kind), np.zeros(1024, np.int64), 0, 0
 
     def extend(self, values: np.ndarray, sizes: np.ndarray) -> None:
         more, lists = len(values), len(sizes)
         if self.n + more > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(max(len(self.values), more), np.int32)])
+            self.values = np.concatenate([self.values, np.zeros(max(len(self.values), more), self.values.dtype)])
         if self.lists + lists >= len(self.start):
             self.start = np.concatenate([self.start, np.zeros(max(len(self.start), lists + 1), np.int64)])
         self.values[self.n:self.n + more] = values
@@ -218,10 +236,12 @@ class _Row:
         self.n += more
         self.lists += lists
 
+    def sizes(self, numbers: np.ndarray) -> np.ndarray:
+        return self.start[numbers + 1] - self.start[numbers]
+
     def take(self, numbers: np.ndarray) -> np.ndarray:
         """The lists with these numbers, joined."""
-        first = self.start[numbers]
-        sizes = self.start[numbers + 1] - first
+        first, sizes = self.start[numbers], self.sizes(numbers)
         end = np.cumsum(sizes)
         return self.values[np.arange(end[-1]) + np.repeat(first - end + sizes, sizes)]
 
@@ -313,22 +333,24 @@ class Aligned:
         self.whole = True
 
     def add(self, tools: Tokenizers, a: np.ndarray, b: np.ndarray) -> None:
-        ends_a, ends_b = np.cumsum(tools.a_size[a]).tolist(), np.cumsum(tools.b_size[b]).tolist()
-        stretches, odd = diagonal_runs(ends_a, ends_b)
-        i, j, n = _columns(stretches, 3)
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        odd_a, odd_b = _columns(odd, 2)
-        first_a = np.sort(np.concatenate([np.repeat(i, n) + inside, odd_a]))
-        first_b = np.sort(np.concatenate([np.repeat(j, n) + inside, odd_b]))
+        """A piece by its tokens."""
+        first_a, first_b, of_a, of_b = align_tokens(tools, a, b)
+        self._more(len(a), len(b), len(first_a), _groups_text(tools, a, b, first_a, first_b), _pairs(tools, a[of_a], b[of_b]))
+
+    def add_words(self, tools: Tokenizers, numbers: np.ndarray) -> None:
+        """A piece by the numbers of its words, all of which both tokenizers spell."""
+        self._more(*(int(row.sizes(numbers).sum()) for row in tools.ids), int(tools.n_groups[numbers].sum()),
+                   b";".join(map(tools.groups.__getitem__, numbers.tolist())), tools.links.take(numbers))
+
+    def _more(self, n_a: int, n_b: int, n_groups: int, text: bytes, pairs: np.ndarray) -> None:
         if self.n_groups:
             self.digest.update(b";")
-        self.digest.update(_groups_text(tools, a, b, first_a, first_b))
-        of_a, of_b = overlaps(ends_a, ends_b, first_a, first_b)
-        self.pairs.append(a[of_a].astype(np.int64) * len(tools.b_bytes) + b[of_b])
-        self.n_a += len(a)
-        self.n_b += len(b)
-        self.n_groups += len(first_a)
-        self.n_links += len(of_a)
+        self.digest.update(text)
+        self.pairs.append(pairs)
+        self.n_a += n_a
+        self.n_b += n_b
+        self.n_groups += n_groups
+        self.n_links += len(pairs)
 
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct id pairs and their links."""
@@ -341,30 +363,104 @@ def _columns(rows: list[tuple], width: int) -> np.ndarray:
     return np.fromiter(chain.from_iterable(rows), np.int64, len(rows) * width).reshape(-1, width).T
 
 
-def _groups_text(tools: Tokenizers, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: of each group the ids of A, then of B."""
+def align_tokens(tools: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Where the groups of tokens with the same bytes begin in A and in B, and the indexes of the tokens that overlap."""
+    ends_a, ends_b = np.cumsum(tools.a_size[a]).tolist(), np.cumsum(tools.b_size[b]).tolist()
+    stretches, odd = diagonal_runs(ends_a, ends_b)
+    i, j, n = _columns(stretches, 3)
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    odd_a, odd_b = _columns(odd, 2)
+    first_a = np.sort(np.concatenate([np.repeat(i, n) + inside, odd_a]))
+    first_b = np.sort(np.concatenate([np.repeat(j, n) + inside, odd_b]))
+    return first_a, first_b, *overlaps(ends_a, ends_b, first_a, first_b)
+
+
+def align_words(tools: Tokenizers, good: np.ndarray, a: np.ndarray, n_a: np.ndarray, b: np.ndarray,
+                n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Links of the words in a row, and of each word the number of links, the number of groups and the
+    groups' text: all ``good`` words are aligned side by side, the others get none."""
+    n_links, n_groups, texts = np.zeros(len(good), np.int64), np.zeros(len(good), np.int64), [b""] * len(good)
+    if not good.any():
+        return np.zeros(0, np.int64), n_links, n_groups, texts
+    a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+    last_a, last_b = np.cumsum(n_a[good]), np.cumsum(n_b[good])
+    first_a, first_b, of_a, of_b = align_tokens(tools, a, b)
+    order = np.argsort(of_a, kind="stable")
+    n_links[good] = np.diff(np.searchsorted(of_a[order], last_a), prepend=0)
+    n_groups[good] = np.diff(np.searchsorted(first_a, last_a), prepend=0)
+    each = _groups_text(tools, a, b, first_a, first_b, last_b).split(b"\n")
+    if good.all():
+        texts = each
+    else:
+        for i, text in zip(np.flatnonzero(good).tolist(), each, strict=True):
+            texts[i] = text
+    return _pairs(tools, a[of_a[order]], b[of_b[order]]), n_links, n_groups, texts
+
+
+def _pairs(tools: Tokenizers, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(np.int64) * len(tools.b_bytes) + b
+
+
+def _groups_text(tools: Tokenizers, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray,
+                 last_b: np.ndarray | None = None) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: of each group the ids of A, then of B. Behind the
+    groups that end with the ``last_b`` first tokens of B a line ends."""
     out_a, out_b = np.append(first_a[1:], len(a)), np.append(first_b[1:], len(b))  # ends of the groups
     at_a = np.arange(len(a)) + np.repeat(first_b, out_a - first_a)
     at_b = np.arange(len(b)) + np.repeat(out_a, out_b - first_b)
     text = np.empty(len(a) + len(b), "<u8")
     mark = np.full(len(text), ord(","), np.uint64)
     mark[at_a[out_a - 1]], mark[at_b[out_b - 1]] = ord("|"), ord(";")
+    if last_b is not None:
+        mark[at_b[last_b - 1]] = ord("\n")
     for at, ids, (digits, after) in ((at_a, a, tools.a_text), (at_b, b, tools.b_text)):
         text[at] = digits[ids] | mark[at] << after[ids]
     return text.tobytes().translate(None, b"\0")[:-1]
 
 
+def align_texts(tools: Tokenizers, texts: Iterable[str | None]) -> Iterator[Aligned | None]:
+    """The alignment of each text; None where it has no tokens. Short texts are taken together up to
+    ``PIECE`` characters or so: their new words cost less side by side."""
+    held, done, size = [], [], 0
+    for text in texts:
+        out = Aligned()
+        out.whole = bool(text)
+        done.append(out)
+        for words in tools.pieces(text) if text else ():
+            held.append((out, words))
+            size += min(len(text), PIECE)
+            if size >= PIECE:
+                _align_pieces(tools, held)
+                held, size = [], 0
+                if not out.whole:
+                    break
+        if not held:
+            yield from (x if x.whole else None for x in done)
+            done = []
+    _align_pieces(tools, held)
+    yield from (x if x.whole else None for x in done)
+
+
+def _align_pieces(tools: Tokenizers, held: list[tuple[Aligned, list[str]]]) -> None:
+    if not held:
+        return
+    every = tools.numbers(list(chain.from_iterable(words for _, words in held)),
+                          [w for _, words in held for w in (words[0], words[-1])])
+    good, at = tools.good[every], 0
+    for out, words in held:
+        numbers, spelled = every[at:at + len(words)], good[at:at + len(words)].all()
+        at += len(words)
+        if spelled and out.whole:
+            out.add_words(tools, numbers)
+        elif out.whole:
+            a, b, out.whole = tools.tokens(words, numbers)
+            if out.whole:
+                out.add(tools, a, b)
+
+
 def align_text(tools: Tokenizers, text: str | None) -> Aligned | None:
     """The alignment of a text; None where it has no tokens."""
-    if not text:
-        return None
-    out = Aligned()
-    for words in tools.pieces(text):
-        a, b, whole = tools.encode(words)
-        if not whole:
-            return None
-        out.add(tools, a, b)
-    return out
+    return next(align_texts(tools, [text]))
 
 
 #: A block: its documents' numbers, where each one's entries end in ``entries`` (positions in
@@ -419,8 +515,9 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, links: int = BLOCK_LINKS)
         number = TaskContext.get().partitionId() << 32
         block = _Block(number)
         for part in passes(batches):
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text"), strict=True):
-                block.add(doc_id, align_text(tools, text.as_py()))
+            texts = (text.as_py() for text in part.column("text"))
+            for doc_id, found in zip(part.column("doc_id").to_pylist(), align_texts(tools, texts), strict=True):
+                block.add(doc_id, found)
                 if block.links >= links:
                     yield block.batch()
                     block = _Block(block.number + 1)

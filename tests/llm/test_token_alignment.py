@@ -167,3 +167,22 @@ def test_new_words_of_a_text_take_one_call_and_are_parted_again():
         for w, x, y in zip(numbers, one_a, one_b):
             good = b"".join(tools.a_bytes[i] for i in x) == b" " + w.encode() == b"".join(tools.b_bytes[i] for i in y)
             assert tools.good[tools.memory[w]] == good
+
+
+def test_new_words_of_several_texts_are_aligned_once_side_by_side(monkeypatch, fixture_rows):
+    """Words that one tokenizer doesn't spell stand between the others."""
+    tools = T.Tokenizers(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    calls, real = [], T.diagonal_runs
+    monkeypatch.setattr(T, "diagonal_runs", lambda a, b: calls.append(len(a)) or real(a, b))
+    texts = [r[1] for r in fixture_rows[:40]] + ["fine words a▁b and more", None, "", "fine words", "a▁b", "(edge) naïve　"]
+    for _ in range(2):  # the second time all words are known
+        found = list(T.align_texts(tools, texts))
+        assert len(calls) == 1
+        for text, got in zip(texts, found, strict=True):
+            want = brute([(1, text)])[0]
+            assert (got is None) == (want[-1] == "")
+            if got:
+                pairs, links = got.counted()
+                assert ("1", got.n_a, got.n_b, got.n_groups, got.n_links) == want[:5] and got.digest.hexdigest() == want[-1]
+                assert links.sum() == got.n_links and (pairs[links == links.max()] >= 0).all()
+    assert found[40] is found[44] is None and found[43]

@@ -158,3 +158,35 @@ def test_kept_rows_are_cut_by_their_number_not_by_the_scan(spark, small_dir, mon
     t = Tables(spark, small_dir)
     assert t.eng_model.rdd.getNumPartitions() == 5
     t.release()
+
+
+def test_missing_models_are_fitted_at_the_same_time(spark, small_dir, tmp_path, monkeypatch):
+    """Both tree fits are under way together, their models are those of single fits, and each is fitted once."""
+    import threading
+
+    from demandkit.plans import catalog
+    from demandkit.plans.context import Tables
+    small = {"Linear Regression": ("linear", {}), "Random Forest": ("forest", dict(n_estimators=3, max_depth=4)),
+             "Boosted Trees": ("boosted", dict(n_estimators=3, max_depth=2))}
+    monkeypatch.setattr(M, "MODELS", small)
+    spark.conf.set("spark.demandkit.models", str(tmp_path / "store"))
+    real, meet, fits = M.fit, threading.Barrier(2, timeout=60), []
+
+    def fit(train, est, *a):
+        fits.append(type(est).__name__)
+        meet.wait()  # broken if the second fit waits for the end of the first
+        return real(train, est, *a)
+
+    monkeypatch.setattr(M, "fit", fit)
+    try:
+        t = Tables(spark, small_dir)
+        assert catalog._importances(t).count() == 2 * len(M.FEATURES)
+        assert sorted(fits) == ["GBTRegressor", "RandomForestRegressor"]
+        monkeypatch.setattr(M, "fit", real)
+        for name, (kind, settings) in list(small.items())[1:]:
+            one = real(t.train, M.ESTIMATORS[kind](**settings))
+            assert one.stages[-1].toDebugString.split("\n", 1)[1] == t.model(name).stages[-1].toDebugString.split("\n", 1)[1]
+        assert t.best_fitted() in small
+        t.release()
+    finally:
+        spark.conf.unset("spark.demandkit.models")

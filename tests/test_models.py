@@ -190,3 +190,36 @@ def test_missing_models_are_fitted_at_the_same_time(spark, small_dir, tmp_path,
         t.release()
     finally:
         spark.conf.unset("spark.demandkit.models")
+
+
+def test_rows_of_a_day_are_kept_side_by_side(spark, monkeypatch):
+    """Trees pass over the rows day by day; a day of many rows is cut, and no row is lost."""
+    monkeypatch.setattr(M, "NEAR_ROWS", 50)
+    day = F.when(F.col("id") < 1000, F.lit(7)).when(F.col("id") >= 1010, 100 + F.col("id") % 200)  # ten rows without one
+    df = spark.range(4000).withColumn("day", day).withColumn("x", F.col("id") * 2)
+    frame = M.persist_training(df, ["id"], rows=1000, near="day")
+    assert frame.columns == df.columns
+    parts = [[tuple(r) for r in p] for p in frame.rdd.glom().collect()]
+    assert len(parts) == M.training_partitions(4000, spark.sparkContext.defaultParallelism, 1000)
+    assert sorted(r for p in parts for r in p) == sorted(map(tuple, df.collect()))
+    for p in parts:
+        assert p == sorted(p, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    holding = [{r[1] for r in p} for p in parts]
+    assert all(sum(d in h for h in holding) == 1 for d in [None, *range(100, 300)])
+    assert sum(7 in h for h in holding) == len(parts)
+    frame.unpersist()
+    empty = M.persist_training(df.limit(0), ["id"], near="day")
+    assert empty.count() == 0
+    empty.unpersist()
+
+
+def test_prepared_rows_lie_by_date(spark, small_dir):
+    from demandkit.plans.context import KEY_COLS, Tables
+    t = Tables(spark, small_dir)
+    parts = [[tuple(r) for r in p] for p in t.prepared.select(*KEY_COLS).rdd.glom().collect()]
+    assert all(p == sorted(p) for p in parts) and sum(map(len, parts)) == t.eng_model.count() > 0
+    t.release()
+
+
+def test_tasks_of_an_executor_hold_bounded_node_statistics():
+    assert M.forest().getMaxMemoryInMB() == M.boosted().getMaxMemoryInMB() <= 512

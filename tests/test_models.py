@@ -223,3 +223,49 @@ def test_prepared_rows_lie_by_date(spark, small_dir):
 
 def test_tasks_of_an_executor_hold_bounded_node_statistics():
     assert M.forest().getMaxMemoryInMB() == M.boosted().getMaxMemoryInMB() <= 512
+
+
+def test_registered_search_takes_all_rows_the_whole_spaces_and_every_candidate(spark, small_dir, tmp_path, monkeypatch):
+    from demandkit.operators import search
+    from demandkit.plans import catalog
+    from demandkit.plans.context import KEY_COLS, Tables
+    spark.conf.set("spark.demandkit.models", str(tmp_path / "store"))
+    asked, refits, real = {}, [], search.search_table
+
+    def table(train, content, kind, space, n_iter, store, **kw):
+        asked[kind] = (train, space, n_iter)
+        few = {**space, "n_estimators": [2], "max_depth": [2]}
+        return real(train, content, kind, few, 2, store, most=4, **kw)  # the fits themselves are another test's
+
+    monkeypatch.setattr(search, "search_table", table)
+    monkeypatch.setattr(Tables, "tuned", lambda self, kind, settings: refits.append((kind, settings)))
+    try:
+        t = Tables(spark, small_dir)
+        rows = catalog.REGISTRY["random_search"][0](t).collect()
+        assert {k: v[1:] for k, v in asked.items()} == {"forest": (M.FOREST_SPACE, 30), "boosted": (M.BOOSTED_SPACE, 40)}
+        assert [k for k, _ in refits] == ["forest", "boosted"] and all(r["kind"] in asked for r in rows)
+        keys = sorted(map(tuple, t.train.select(*KEY_COLS).collect()))
+        for train, *_ in asked.values():
+            folds = {tuple(r[k] for k in KEY_COLS): r["fold"] for r in train.select(*KEY_COLS, "fold").collect()}
+            assert sorted(folds) == keys and len(keys) > 1000  # every training row, not a row a day
+            assert [folds[k] for k in keys] == sorted(folds.values()) and set(folds.values()) == {1, 2, 3, 4, 5}
+        t.release()
+    finally:
+        spark.conf.unset("spark.demandkit.models")
+
+
+def test_best_of_a_search_is_fitted_on_all_training_rows_and_kept(spark, small_dir, tmp_path):
+    from demandkit.plans.context import Tables
+    spark.conf.set("spark.demandkit.models", str(tmp_path / "store"))
+    try:
+        t, settings = Tables(spark, small_dir), dict(n_estimators=2, max_depth=2, min_samples_leaf=1, max_features="sqrt")
+        trees = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (t.tuned("forest", settings), M.fit(t.train, M.forest(**settings)))]
+        assert trees[0] == trees[1] and len(t.store.names("models")) == 1
+        t.release()
+    finally:
+        spark.conf.unset("spark.demandkit.models")
+
+
+def test_fits_of_a_search_together_hold_bounded_rows():
+    from demandkit.operators import search
+    assert [search.fits_at_once(n) for n in (0, 50_000, 700_000, 2_850_000)] == [4, 4, 2, 1]

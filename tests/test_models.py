@@ -269,3 +269,45 @@ def test_best_of_a_search_is_fitted_on_all_training_rows_and_kept(spark, small_d
 def test_fits_of_a_search_together_hold_bounded_rows():
     from demandkit.operators import search
     assert [search.fits_at_once(n) for n in (0, 50_000, 700_000, 2_850_000)] == [4, 4, 2, 1]
+
+
+def test_linear_fits_and_folds_keep_no_rows(spark, small_dir, tmp_path):
+    """Neither shuffled nor persisted copies of the engineered rows; coefficients and folds are those of the kept rows."""
+    from demandkit.plans import catalog
+    from demandkit.plans.context import KEY_COLS, Tables
+    spark.conf.set("spark.demandkit.models", str(tmp_path / "store"))
+    try:
+        held = spark.sparkContext._jsc.getPersistentRDDs().size()
+        t = Tables(spark, small_dir)
+        coefs = {r["feature"]: r["coefficient"] for r in catalog.REGISTRY["coefficient_table"][0](t).collect()}
+        cv = catalog.REGISTRY["cross_validate"][0](t).collect()
+        assert not {"eng_model", "prepared"} & set(t.__dict__) and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+        plan = t.fit_rows("linear", *KEY_COLS)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "InMemoryTableScan" not in plan
+        want = dict(M.coefficients(M.fit(t.train, M.linear())))
+        assert set(coefs) == set(M.FEATURES) and all(abs(want[f] - c) < 1e-3 for f, c in coefs.items())
+        folds = contiguous_folds(t.train, KEY_COLS, 5)
+        mae = [r["mae"] for r in M.cross_validate(folds, M.linear()).orderBy("fold").collect()]
+        assert all(abs(a - b) < 1e-3 for a, b in zip(mae, cv[0]["mae_folds"], strict=True))
+        t.release()
+    finally:
+        spark.conf.unset("spark.demandkit.models")
+
+
+def test_rows_made_from_written_sales_are_the_engineered_ones(spark, small_dir):
+    from demandkit.operators import features as feat
+    from demandkit.operators import prepare as prep
+    from demandkit.plans.context import FEATURE_SOURCES, KEY_COLS, Tables
+    t = Tables(spark, small_dir)
+    daily = feat.daily_features(t.sales_of("date", "qty"), exclude_current=True)
+    eng = t.eng_of(*KEY_COLS, *FEATURE_SOURCES, daily=daily.checkpoint())
+    train = eng.where(F.col("split") == "train")
+    codes = prep.label_encode(eng, prep.CATEGORICAL_COLS, mappings=prep.encoder_mappings(train, prep.CATEGORICAL_COLS), unseen=-1)
+    want = prep.standard_scale(codes, params=prep.scaler_params(train))
+    cols = [*KEY_COLS, *prep.FEATURES, "qty", "split"]
+    got = sorted(map(tuple, t.encoded_rows(*KEY_COLS).select(*cols).collect()))
+    want = sorted(map(tuple, want.select(*cols).collect()))
+    assert len(got) == len(want) > 1000
+    for a, b in zip(got, want):
+        assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b)), (a, b)
+    t.release()

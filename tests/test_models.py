@@ -311,3 +311,16 @@ def test_rows_made_from_written_sales_are_the_engineered_ones(spark, small_dir):
     for a, b in zip(got, want):
         assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b)), (a, b)
     t.release()
+
+
+def test_what_a_day_shares_is_not_shuffled(spark, small_dir, monkeypatch):
+    """The dealt rows are the sale's own columns; calendar and daily features come after, by broadcast."""
+    from demandkit.operators import prepare as prep
+    from demandkit.plans.context import KEY_COLS, Tables
+    real, dealt = M.persist_training, []
+    monkeypatch.setattr(M, "persist_training", lambda df, *a, **k: dealt.append(set(df.columns)) or real(df, *a, **k))
+    t = Tables(spark, small_dir)
+    frame = t.prepared
+    assert len(dealt) == 1 and not dealt[0] & {*prep.CALENDAR_COLS, *prep.LAG_COLS} and set(KEY_COLS) < dealt[0]
+    assert set(frame.columns) == {*KEY_COLS, *prep.FEATURES, prep.TARGET, "split"}
+    t.release()

@@ -86,3 +86,38 @@ def test_suffix_array_and_common_prefixes():
             a, b = text[want[k - 1]:], text[want[k]:]
             n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
             assert common[k] == min(30, n)
+
+
+def test_shards_of_other_fingerprints_are_not_compared(monkeypatch):
+    """Windows of different fingerprints differ: a task of many shards takes time by its bytes, not by their square."""
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    parts = [rng.integers(97, 123, 300, dtype=np.uint8).tobytes() for _ in range(40)]
+    rows = [(key, doc, 1000 * key, part) for key, part in enumerate(parts[:39]) for doc in (1, 2)]
+    rows += [(39, doc, 39_000, parts[39][doc % 5:]) for doc in range(30)]  # one of several shards
+
+    def run(shard_bytes):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 3 + [pa.binary()])],
+                                              names=["key", "doc", "start", "text"])]
+        found = [x for b in S._compare_shards(100, shard_bytes)(batches) for x in zip(*(c.to_pylist() for c in b.columns))]
+        return S.stretches(*(np.array(c, np.int64) for c in zip(*found)))
+
+    one, met, real = run(1 << 20), [], S.Shard.merge
+    monkeypatch.setattr(S.Shard, "merge", lambda self, earlier: met.append(len(earlier)) or real(self, earlier))
+    many = run(1_000)
+    assert all(np.array_equal(a, b) for a, b in zip(one, many, strict=True)) and len(one[0]) >= 39
+    assert len(met) > 20 and not any(met[:18]) and max(met[-5:]) > 1
+
+
+def test_common_prefixes_end_with_the_text():
+    rng = np.random.default_rng(10)
+    for raw in (b"\0" * 50, b"ab" * 90 + b"\0" * 9, rng.integers(0, 3, 3000, dtype=np.uint8).tobytes(), b"x"):
+        order = S.suffix_array(np.frombuffer(raw, np.uint8))
+        assert list(order) == sorted(range(len(raw)), key=lambda i: raw[i:])
+        want = [0]
+        for i, j in zip(order, order[1:]):
+            k = 0
+            while k < 40 and max(i, j) + k < len(raw) and raw[i + k] == raw[j + k]:
+                k += 1
+            want.append(k)
+        assert list(S.kasai(np.frombuffer(raw, np.uint8), order, 40)) == want
